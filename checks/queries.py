@@ -25,13 +25,13 @@ from .views import AS_OF
 
 SMALL = Boosting(rounds=5, depth=4, rate=0.1)
 SMALL_TOO = Boosting(rounds=5, depth=3, rate=0.1, seed=43)
-EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
 
 # sources and projections
 
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
-    return read_parquet(spark, f"{sf}/events.parquet", EVENT_COLUMNS)
+    events = read_parquet(spark, f"{sf}/events.parquet", views.SCHEMAS["events"])
+    return events.drop("props")
 
 
 def _day_as_text(df):

@@ -20,11 +20,13 @@ def no_nan(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
+# Decimal notation, or infinity. A cast alone would also take 1d, 0x1p3 and nan.
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def text_to_number(col: Column) -> Column:
-    """Number in a text, or null. Type suffixes (``1d``) and hex floats are not numbers."""
-    text = F.trim(col)
-    plain = F.when(~text.rlike(r"[0-9.][dDfF]$|[xX]"), text)
-    return no_nan(plain.try_cast("double"))
+    """Number in a text, or null."""
+    return F.when(col.rlike(_NUMBER), col).try_cast("double")
 
 
 def number(df: DataFrame, name: str, default: float | None = None) -> Column:

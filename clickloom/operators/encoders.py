@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import filled_text
@@ -29,7 +30,7 @@ class LabelEncoder:
         """Distinct values of all columns over all frames in one pass, sorted, numbered.
 
         The sort is by range, so no task holds a whole domain. Each sorted piece is numbered by
-        itself; pieces are few (one per partition and column) and carry the offsets.
+        itself; its place among the pieces then gives the codes.
         """
         pairs = None
         for df in frames:
@@ -46,21 +47,24 @@ class LabelEncoder:
             .withColumn("slot", F.monotonically_increasing_id()),
             "classes",
         ).withColumn("piece", F.shiftright("slot", _PART_SHIFT))
+        # one row per sorted piece: at most partitions + columns of them
         pieces = classes.groupBy("column", "piece").agg(
             F.min("slot").alias("first"),
             F.count(F.lit(1)).alias("n"),
             F.sum(F.octet_length("value") + 40).alias("bytes"),
+        ).orderBy("column", "piece").collect()
+        seen, sizes, shifts = Counter(), Counter(), []
+        for p in pieces:
+            shifts.append((p["column"], p["piece"], seen[p["column"]] - p["first"]))
+            seen[p["column"]] += p["n"]
+            sizes[p["column"]] += p["bytes"]
+        shift = classes.sparkSession.createDataFrame(
+            shifts, "column string, piece bigint, shift bigint"
         )
-        before = Window.partitionBy("column").orderBy("piece").rowsBetween(
-            Window.unboundedPreceding, -1
+        table = classes.join(F.broadcast(shift), ["column", "piece"]).select(
+            "column", "value", (F.col("slot") + F.col("shift")).alias("code")
         )
-        offsets = pieces.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        table = classes.join(F.broadcast(offsets), ["column", "piece"]).select(
-            "column", "value", (F.col("slot") - F.col("first") + F.col("offset")).alias("code")
-        )
-        sizes = {r["column"]: r["bytes"] for r in
-                 pieces.groupBy("column").agg(F.sum("bytes").alias("bytes")).collect()}
-        return LabelEncoderModel(table, list(self.columns), self.filler, sizes)
+        return LabelEncoderModel(table, list(self.columns), self.filler, dict(sizes))
 
 
 @dataclass

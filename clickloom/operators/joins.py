@@ -74,21 +74,25 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
-def hot_keys(counts: DataFrame, parts: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys holding more than a partition's fair share of rows, and into how many to split each.
+def hot_keys(
+    counts: DataFrame, rows: int, hot_rows: int = HOT_ROWS, parts: int | None = None
+) -> DataFrame | None:
+    """Keys holding more than a partition's fair share of ``rows``, and the splits of each.
 
     Fewer than ``parts`` keys can qualify and their splits add up to at most twice ``parts``, so
-    they may be collected and broadcast whatever the data. None if there are none.
+    they may be collected and broadcast whatever the data. None if there are none, which needs no
+    look at the keys when there are too few rows at all.
     """
-    heavy = counts.where(F.col(_ROWS) > hot_rows).orderBy(F.desc(_ROWS)).limit(parts).collect()
-    if not heavy:
+    spark = counts.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(rows / parts, hot_rows)
+    if rows <= share:
         return None
-    share = max(counts.agg(F.sum(_ROWS)).first()[0] / parts, hot_rows)
-    rows = [(*r[:-1], math.ceil(r[_ROWS] / share)) for r in heavy if r[_ROWS] > share]
-    if not rows:
+    heavy = counts.where(F.col(_ROWS) > share).collect()
+    if not heavy:
         return None
     schema = T.StructType(counts.schema.fields[:-1]).add(_SALTS, T.IntegerType())
-    return counts.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame([(*r[:-1], math.ceil(r[-1] / share)) for r in heavy], schema)
 
 
 def spread_join(
@@ -96,20 +100,24 @@ def spread_join(
     lookup: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
-    counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     suffixes: tuple = ("_x", "_y"),
 ) -> DataFrame:
     """Left join by shuffle in which no key, the missing one included, fills a partition.
 
-    The fact's keys are counted first (a scan of the key columns). Without hot keys this is a
-    plain join. Else rows of a hot key are split by a hash of the row, and the lookup's rows of
-    that key are repeated once per split. ``counts`` (keys, ``_rows``) may be passed in.
+    The fact's rows are counted first, and if there are many, those of each key (a scan of the key
+    columns). Without hot keys this is a plain join. Else rows of a hot key are split by a hash of
+    the row, and the lookup's rows of that key are repeated once per split.
     """
-    keys = list(keys)
+    hot = hot_keys(key_counts(fact, keys), fact.count(), hot_rows)
+    return _spread(fact, lookup, list(keys), null_safe, hot, suffixes)
+
+
+def _spread(
+    fact: DataFrame, lookup: DataFrame, keys: list[str], null_safe: bool, hot: DataFrame | None,
+    suffixes: tuple = ("_x", "_y"),
+) -> DataFrame:
     fact, lookup = rename_collisions(fact, lookup, keys, suffixes)
-    parts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(key_counts(fact, keys) if counts is None else counts, parts, hot_rows)
     if hot is None:
         return _left(fact, lookup, keys, null_safe)
     hot = F.broadcast(hot)
@@ -142,7 +150,7 @@ def attach(
     Small dimensions are broadcast. The rest is joined to the table of distinct fact keys, which
     is a few columns wide and free of repeats, and that table is joined to the fact once.
     """
-    large = []
+    plain, large = fact, []
     for lookup in lookups:
         if lookup.dimension and measured_bytes(lookup.table) <= limit:
             fact, table = rename_collisions(fact, lookup.table, lookup.keys)
@@ -151,23 +159,21 @@ def attach(
             large.append(lookup)
     if not large:
         return fact
+    keys = list(dict.fromkeys(k for lookup in large for k in lookup.keys))
+    rows, counts = plain.count(), key_counts(plain, keys)
+    hot = hot_keys(counts, rows, hot_rows)
     if len(large) == 1:
         (one,) = large
-        joined = spread_join(fact, one.table, one.keys, one.null_safe, hot_rows=hot_rows)
-        return _filled(joined, one)
-    keys = list(dict.fromkeys(k for lookup in large for k in lookup.keys))
-    counts = key_counts(fact, keys)
+        return _filled(_spread(fact, one.table, keys, one.null_safe, hot), one)
     table = counts.drop(_ROWS)
     for lookup in large:
-        if set(lookup.keys) == set(keys):
-            table = _left(*rename_collisions(table, lookup.table, keys), keys, lookup.null_safe)
-        else:
-            table = spread_join(
-                table, lookup.table, lookup.keys, lookup.null_safe,
-                key_counts(counts, lookup.keys), hot_rows,
-            )
+        # at most one row per distinct key tuple here: hot only where one key has many partners
+        partners = None
+        if set(lookup.keys) != set(keys):
+            partners = hot_keys(key_counts(counts, lookup.keys), rows, hot_rows)
+        table = _spread(table, lookup.table, list(lookup.keys), lookup.null_safe, partners)
         table = _filled(table, lookup)
-    return spread_join(fact, table, keys, True, counts=counts, hot_rows=hot_rows)
+    return _spread(fact, table, keys, True, hot)
 
 
 def _filled(df: DataFrame, lookup: Lookup) -> DataFrame:

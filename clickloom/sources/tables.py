@@ -18,7 +18,7 @@ FALSE_WORDS = ("False", "FALSE", "false")
 
 
 def read_parquet(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Parquet scan; a declared schema spares the footer reads and fixes the columns."""
     reader = spark.read.schema(schema) if schema else spark.read

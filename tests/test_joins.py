@@ -1,0 +1,177 @@
+"""Every way to join gives the rows of a plain left join, whatever the skew."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.operators import joins
+from clickloom.operators.joins import Lookup, attach, hot_keys, join_dimension, key_counts, spread_join
+
+
+def rows(df):
+    cols = sorted(df.columns)
+    return Counter(map(tuple, df.select(*cols).collect()))
+
+
+def brute_left(left, right, keys, cols, null_safe=False):
+    """Left join of lists of dicts."""
+    out = Counter()
+    for l in left:
+        found = [
+            r for r in right
+            if all(l[k] == r[k] and (null_safe or l[k] is not None) for k in keys)
+        ] or [{}]
+        for r in found:
+            both = {**r, **l}
+            out[tuple(both.get(c) for c in cols)] += 1
+    return out
+
+
+def skewed(n=3000, seed=1):
+    """A third of the rows share a customer, a third of the rest has none."""
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        p = rnd.random()
+        id2 = 7 if p < 0.34 else None if p < 0.56 else rnd.randrange(60)
+        id3 = 3 if rnd.random() < 0.4 else rnd.randrange(20)
+        out.append({"id1": i, "id2": id2, "id3": id3})
+    return out
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    return skewed(), spark.createDataFrame(skewed(), "id1 bigint, id2 bigint, id3 bigint")
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("hot_rows", [10, 10**9])
+def test_spread_join_is_a_left_join(spark, fact, null_safe, hot_rows):
+    right = [{"id2": k, "v": (k or 0) * 10} for k in [*range(50), 7, None]]  # 7 twice
+    lookup = spark.createDataFrame(right, "id2 bigint, v bigint")
+    got = spread_join(fact[1], lookup, ["id2"], null_safe, hot_rows=hot_rows)
+    assert got.columns == ["id1", "id2", "id3", "v"]
+    want = brute_left(fact[0], right, ["id2"], ["id1", "id2", "id3", "v"], null_safe)
+    assert rows(got) == want
+
+
+def test_hot_keys_are_found_and_bounded(spark, fact):
+    counts = key_counts(fact[1], ["id2"])
+    hot = hot_keys(counts, 3000, hot_rows=10, parts=4)
+    assert {r["id2"] for r in hot.collect()} == {7}
+    many = hot_keys(counts, 3000, hot_rows=1, parts=40).collect()
+    assert {7, None} <= {r["id2"] for r in many}
+    assert len(many) < 40 and sum(r["_salts"] for r in many) <= 80
+    assert hot_keys(counts, 3000, hot_rows=10**6) is None
+
+
+def test_hot_rows_are_split_over_partitions(spark, fact):
+    """The third of rows on one key ends up in several partitions of the join."""
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        lookup = spark.range(60).select(F.col("id").alias("id2"), F.lit(1).alias("v"))
+        got = spread_join(fact[1], lookup, ["id2"], hot_rows=10)
+        spread = got.withColumn("p", F.spark_partition_id())
+        n = spread.where("id2 = 7").select("p").distinct().count()
+        assert n >= 4
+        assert spread.where("id2 is null").select("p").distinct().count() >= 3
+        largest = spread.groupBy("p").count().agg(F.max("count")).first()[0]
+        assert largest < 3000 / 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_dimension_is_broadcast_only_when_small(spark, fact, limit):
+    right = [{"id3": k, "name": f"offer {k}"} for k in range(15)]
+    dim = spark.createDataFrame(right, "id3 bigint, name string")
+    got = join_dimension(fact[1], dim, ["id3"], limit=limit)
+    assert rows(got) == brute_left(fact[0], right, ["id3"], ["id1", "id2", "id3", "name"])
+
+
+def test_measured_size_follows_the_data(spark):
+    small = spark.createDataFrame([("a", 1)], "s string, i bigint")
+    large = spark.createDataFrame([("a" * 1000, 1)] * 10, "s string, i bigint")
+    assert joins.measured_bytes(large) > 10_000 > joins.measured_bytes(small) > 0
+    assert joins.measured_bytes(small.limit(0)) == 0
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10**9])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_attach_equals_joins_one_by_one(spark, fact, hot_rows, limit):
+    rnd = random.Random(2)
+    offers = [{"id3": k, "name": f"o{k}"} for k in [*range(15), 3]]  # offer 3 twice
+    pairs = [{"id2": a, "id3": b, "n": a + b} for a in range(30) for b in range(10)]
+    users = [{"id2": k, "m": rnd.random()} for k in range(40)]
+    got = attach(fact[1], [
+        Lookup(spark.createDataFrame(offers, "id3 bigint, name string"), ["id3"], dimension=True),
+        Lookup(spark.createDataFrame(pairs, "id2 bigint, id3 bigint, n bigint"), ["id2", "id3"],
+               {"n": 0}),
+        Lookup(spark.createDataFrame(users, "id2 bigint, m double"), ["id2"], {"m": 0.0}),
+    ], limit=limit, hot_rows=hot_rows)
+    by_pair = {(p["id2"], p["id3"]): p["n"] for p in pairs}
+    by_user = {u["id2"]: u["m"] for u in users}
+    want = Counter()
+    for l in fact[0]:
+        names = [o["name"] for o in offers if o["id3"] == l["id3"]] or [None]
+        for name in names:
+            want[(l["id1"], l["id2"], l["id3"], by_user.get(l["id2"], 0.0),
+                  by_pair.get((l["id2"], l["id3"]), 0), name)] += 1
+    got_rows = Counter(map(tuple, got.select("id1", "id2", "id3", "m", "n", "name").collect()))
+    assert got_rows == want
+
+
+def test_attach_keeps_null_key_matches_apart(spark):
+    fact = spark.createDataFrame([(1, None, 5), (2, 9, None), (3, None, None)],
+                                 "id1 bigint, id2 bigint, id3 bigint")
+    by_user = spark.createDataFrame([(9, 1.0), (None, 2.0)], "id2 bigint, u double")
+    by_offer = spark.createDataFrame([(5, 3.0), (None, 4.0)], "id3 bigint, o double")
+    plain = attach(fact, [Lookup(by_user, ["id2"]), Lookup(by_offer, ["id3"])])
+    assert rows(plain.select("id1", "u", "o")) == Counter(
+        {(1, 3.0, None): 1, (2, None, 1.0): 1, (3, None, None): 1})
+    safe = attach(fact, [Lookup(by_user, ["id2"], null_safe=True),
+                         Lookup(by_offer, ["id3"], null_safe=True)])
+    assert rows(safe.select("id1", "u", "o")) == Counter(
+        {(1, 3.0, 2.0): 1, (2, 4.0, 1.0): 1, (3, 4.0, 2.0): 1})
+
+
+def test_collisions_get_suffixes(spark):
+    left = spark.createDataFrame([(1, 2.0)], "id3 bigint, f376 double")
+    right = spark.createDataFrame([(1, 3.0)], "id3 bigint, f376 double")
+    for got in (
+        join_dimension(left, right, ["id3"]),
+        spread_join(left, right, ["id3"]),
+        attach(left, [Lookup(right, ["id3"], dimension=True)]),
+        attach(left, [Lookup(right, ["id3"])]),
+    ):
+        assert got.columns == ["id3", "f376_x", "f376_y"]
+        assert got.first() == (1, 2.0, 3.0)
+
+
+def test_wide_rows_move_once(spark, fact):
+    """With no broadcasts, only one exchange carries the wide column."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wide = fact[1].withColumn("payload", F.concat(F.lit("w"), F.col("id1")))
+        users = spark.range(60).select(F.col("id").alias("id2"), F.rand(1).alias("m"))
+        pairs = key_counts(fact[1], ["id2", "id3"]).withColumnRenamed("_rows", "n")
+        got = attach(wide, [Lookup(pairs, ["id2", "id3"]), Lookup(users, ["id2"])])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        moved = 0
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                moved += "payload" in "".join(lines[i + 1:i + 3])
+        assert moved == 1, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
