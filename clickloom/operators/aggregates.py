@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_between
-from ..functions.values import number
+from ..functions.values import number, strict_timestamp
 
 
 def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,13 +25,16 @@ def impression_counts(events: DataFrame, name: str = "past_impression_count") ->
 def rfm(
     trans: DataFrame, as_of: datetime | Column, amount: str = "f367", time: str = "f370"
 ) -> DataFrame:
-    """Recency in days at ``as_of``, frequency and monetary value per customer."""
+    """Recency in days at ``as_of``, frequency and monetary value per customer.
+
+    A time kept as text must be one; text that is not is an error.
+    """
     end = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp_ntz")
     return (
         _keyed(trans, ["id2"])
         .groupBy("id2")
         .agg(
-            F.max(F.col(time)).alias("_last"),
+            F.max(strict_timestamp(F.col(time))).alias("_last"),
             F.count("id2").alias("frequency"),
             F.coalesce(F.sum(number(trans, amount)), F.lit(0.0)).alias("monetary"),
         )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import filled_text
 from ..session import written
-from .joins import BROADCAST_BYTES, spread_join
+from .joins import BROADCAST_BYTES, Lookup, attach
 
 _PART_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -23,9 +23,6 @@ class LabelEncoder:
     columns: Sequence[str]
     filler: str | None = None
 
-    def _value(self, name: str) -> Column:
-        return F.col(name).cast("string") if self.filler is None else filled_text(F.col(name), self.filler)
-
     def fit(self, *frames: DataFrame) -> "LabelEncoderModel":
         """Distinct values of all columns over all frames in one pass, sorted, numbered.
 
@@ -35,7 +32,7 @@ class LabelEncoder:
         pairs = None
         for df in frames:
             cells = F.array(*[
-                F.struct(F.lit(c).alias("column"), self._value(c).alias("value"))
+                F.struct(F.lit(c).alias("column"), _class_text(c, self.filler).alias("value"))
                 for c in self.columns
             ])
             part = df.select(F.inline(cells))
@@ -91,22 +88,28 @@ class LabelEncoderModel:
         """
         order = df.columns
         names = [c for c in (columns or self.columns) if c in df.columns]
-        small = [c for c in names if self.sizes.get(c, 0) <= limit]
+        df = df.withColumns({c: _class_text(c, self.filler) for c in names})
+        large = []
         for c in names:
-            value = F.col(c).cast("string") if self.filler is None else filled_text(F.col(c), self.filler)
-            df = df.withColumn(c, value)
             classes = self.table.where(F.col("column") == c).select(
-                F.col("value").alias(c), F.col("code").alias("_code")
+                F.col("value").alias(c), F.col("code").alias(f"_code_{c}")
             )
-            if c in small:
+            if self.sizes.get(c, 0) <= limit:
                 df = df.join(F.broadcast(classes), c, "left")
             else:
-                df = spread_join(df, classes, [c])
-            code = F.when(F.col(c).isNull(), F.lit(null_code)).otherwise(
-                F.coalesce(F.col("_code"), _unseen(c, unseen))
-            )
-            df = df.withColumn(c, code.cast("bigint")).drop("_code")
-        return df.select(*order)
+                large.append(Lookup(classes, [c]))
+        df = attach(df, large)
+        codes = {
+            c: F.when(F.col(c).isNull(), F.lit(null_code)).otherwise(
+                F.coalesce(F.col(f"_code_{c}"), _unseen(c, unseen))
+            ).cast("bigint").alias(c)
+            for c in names
+        }
+        return df.select(*[codes.get(c, F.col(c)) for c in order])
+
+
+def _class_text(name: str, filler: str | None) -> Column:
+    return F.col(name).cast("string") if filler is None else filled_text(F.col(name), filler)
 
 
 def _unseen(name: str, policy: str) -> Column:

@@ -121,8 +121,9 @@ def _spread(
     if hot is None:
         return _left(fact, lookup, keys, null_safe)
     hot = F.broadcast(hot)
-    split = F.pmod(F.xxhash64(*fact.columns), F.coalesce(_SALTS, F.lit(1))).cast("int")
-    fact = _left(fact, hot, keys, True).withColumn(_SALT, split).drop(_SALTS)
+    split = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col(_SALTS)).cast("int")
+    salt = F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(split)
+    fact = _left(fact, hot, keys, True).withColumn(_SALT, salt).drop(_SALTS)
     copies = F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)
     lookup = _left(lookup, hot, keys, True).withColumn(_SALT, F.explode(copies)).drop(_SALTS)
     return _left(fact, lookup, [*keys, _SALT], null_safe).drop(_SALT)

@@ -8,17 +8,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import number
+from ..functions.values import number, parse_timestamp
 from ..operators.columns import align, target_column, text_columns
+from ..operators.encoders import LabelEncoder
 from ..operators.metrics import log_losses
 from ..operators.numeric_rule import NumericRuleModel
-from ..operators.encoders import LabelEncoder
 from ..operators.splits import in_sample
 from ..operators.submission import format_submission
 from ..sources.bundle import Bundle
-from .models import Boosting, SEED, fit_pair, score_pair
+from .models import HELD_OUT, LABEL, SEED, Boosting, assembled, fit_pair, score_pair
 from .training import (
-    AS_OF, SPLIT_DATE, build_training_table, feature_columns, with_offer_meta, with_transactions,
+    AS_OF, ID_COLUMNS, SPLIT_DATE, build_training_table, feature_columns, with_offer_meta, with_transactions,
 )
 
 # The text columns scoring encodes, and the filler for their missing values.
@@ -39,7 +39,8 @@ def train(
 ) -> tuple[Bundle, DataFrame]:
     """The fitted bundle and the scored validation rows.
 
-    Validation is from ``split`` on by id5; without id5 it is a fifth of the rows by hash of id1.
+    Validation is from ``split`` on by id5, parsed by ``date_formats`` if it is text; without id5
+    it is a fifth of the rows by hash of id1.
     """
     target = target_column(impressions)
     table, rule = build_training_table(
@@ -47,14 +48,18 @@ def train(
     )
     features = feature_columns(table, target)
     if "id5" in table.columns:
+        if "id5" in text_columns(table):
+            table = table.withColumn("id5", parse_timestamp(F.col("id5"), date_formats))
         held_out = F.col("id5") >= F.lit(split)
         table = table.where(held_out.isNotNull())  # a row without a date is in neither part
     else:
         held_out = in_sample(F.col("id1"), 0.2, SEED)
-    model = fit_pair(table, features, target, held_out, first, second)
+    ids = [c for c in ID_COLUMNS if c in table.columns]
+    rows = assembled(table, features, target, held_out, keep=[*ids, target])
+    model = fit_pair(rows, features, first, second)
     config = {"as_of": as_of.isoformat(), "split": split.isoformat()}
-    bundle = Bundle(model, features, target, rule, config)
-    return bundle, score_pair(model, table.where(held_out))
+    scored = score_pair(model, rows.where(F.col(HELD_OUT))).drop(LABEL, HELD_OUT)
+    return Bundle(model, features, target, rule, config), scored
 
 
 def validation_losses(scored: DataFrame, target: str) -> DataFrame:
@@ -96,7 +101,7 @@ def score(
     ``shared_encoding`` applies the rule fitted in training; without it the scoring side's own
     rule is used (see ``serving_rule``). Features the rows lack become 0.
     """
-    ids = [c for c in ("id1", "id2", "id3", "id5") if c in impressions.columns]
+    ids = [c for c in ID_COLUMNS if c in impressions.columns]
     df = with_transactions(with_offer_meta(impressions, offers, as_of, date_formats), trans)
     df = df.withColumns({f"_aside_{c}": F.col(c) for c in ids})
     aside = [f"_aside_{c}" for c in ids]
@@ -122,4 +127,4 @@ def submission(
 ) -> DataFrame:
     """Scored impressions in the layout of a submission."""
     scored = score(bundle, impressions, offers, trans, as_of, date_formats, shared_encoding)
-    return format_submission(scored, keep)
+    return format_submission(scored, keep, date_formats=tuple(date_formats))

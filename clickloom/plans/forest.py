@@ -9,7 +9,7 @@ from ..functions.scores import hard_label
 from ..operators.columns import align, drop_columns, numeric_columns
 from ..operators.submission import match_template
 from .features import with_click_rates
-from .models import fit_forest, score_forest
+from .models import assembled, fit_forest, score_forest
 
 # Columns that are no features.
 NO_FEATURES = ("id1", "id2", "id3", "id4")
@@ -27,7 +27,7 @@ def forest_scores(
     overall = train.agg(F.avg(label)).first()[0]
     rates = {"ctr_offer": overall, "ctr_user": overall}
     rated = rated.fillna(rates).fillna(0, subset=features)
-    model = fit_forest(rated, features, label, trees, depth)
+    model = fit_forest(assembled(rated, features, label), features, trees, depth)
     keep = [c for c in ("id1", "id2", "id3") if c in test.columns]
     unlabelled = align(
         with_click_rates(test, train, label).fillna(rates), features, keep=keep

@@ -17,7 +17,7 @@ from ..functions.scores import blend
 from ..session import written
 
 SEED = 42
-FEATURES = "features"
+FEATURES, LABEL, HELD_OUT = "features", "label", "_held_out"
 FIRST, SECOND, FOREST, RANKER = "first", "second", "forest", "ranker"
 
 
@@ -51,13 +51,21 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
 
-def _vectors(df: DataFrame, features: Sequence[str], label: str, held_out: Column | None) -> DataFrame:
-    """Label, hold-out flag and feature vector, written once: boosting reads them every round."""
+def assembled(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    held_out: Column | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``keep``, label, hold-out flag and feature vector, written once.
+
+    Boosting reads these rows every round; joins and encodings must not run again each time.
+    """
     flag = F.lit(False) if held_out is None else held_out
+    vectors = assembler(features).transform(df.withColumn(HELD_OUT, flag))
     return written(
-        assembler(features).transform(df.withColumn("_held_out", flag)).select(
-            F.col(label).cast("double").alias("label"), "_held_out", FEATURES
-        ),
+        vectors.select(*keep, F.col(label).cast("double").alias(LABEL), HELD_OUT, FEATURES),
         "training",
     )
 
@@ -72,38 +80,34 @@ def _named(classifier, model: str):
 
 
 def fit_pair(
-    df: DataFrame,
+    rows: DataFrame,
     features: Sequence[str],
-    label: str,
-    held_out: Column | None = None,
     first: Boosting = Boosting(),
     second: Boosting | None = Boosting(seed=SEED + 1),
 ) -> PipelineModel:
-    """Two boosted classifiers on the same rows (or one), as one model with two scores.
+    """Two boosted classifiers on the same assembled rows (or one), as one model with two scores.
 
-    ``held_out`` marks the validation rows that stop the training.
+    Held-out rows, if there are any, are not learnt from but stop the training.
     """
-    rows = _vectors(df, features, label, held_out)
+    stop_early = not rows.where(F.col(HELD_OUT)).isEmpty()
     stages = [assembler(features)]
     for name, settings in ((FIRST, first), (SECOND, second)):
         if settings is not None:
             booster = _named(
-                GBTClassifier(featuresCol=FEATURES, labelCol="label", **settings.params()), name
+                GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, **settings.params()), name
             )
-            if held_out is not None:
-                booster.setValidationIndicatorCol("_held_out")
+            if stop_early:
+                booster.setValidationIndicatorCol(HELD_OUT)
             stages.append(booster.fit(rows))
     return PipelineModel(stages)
 
 
 def fit_forest(
-    df: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 10,
-    seed: int = SEED,
+    rows: DataFrame, features: Sequence[str], trees: int = 100, depth: int = 10, seed: int = SEED
 ) -> PipelineModel:
-    rows = _vectors(df, features, label, None)
     forest = _named(
         RandomForestClassifier(
-            featuresCol=FEATURES, labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
+            featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
         ),
         FOREST,
     )
@@ -111,16 +115,14 @@ def fit_forest(
 
 
 def fit_ranker(
-    df: DataFrame, features: Sequence[str], label: str, held_out: Column | None = None,
-    settings: Boosting = Boosting(),
+    rows: DataFrame, features: Sequence[str], settings: Boosting = Boosting()
 ) -> PipelineModel:
     """Pointwise ranker: boosted regression on the label, to be ordered within the customer."""
-    rows = _vectors(df, features, label, held_out)
     booster = GBTRegressor(
-        featuresCol=FEATURES, labelCol="label", predictionCol=RANKER, **settings.params()
+        featuresCol=FEATURES, labelCol=LABEL, predictionCol=RANKER, **settings.params()
     )
-    if held_out is not None:
-        booster.setValidationIndicatorCol("_held_out")
+    if not rows.where(F.col(HELD_OUT)).isEmpty():
+        booster.setValidationIndicatorCol(HELD_OUT)
     return PipelineModel([assembler(features), booster.fit(rows)])
 
 
@@ -129,12 +131,18 @@ def probability(model: str) -> Column:
     return vector_to_array(F.col(f"{model}_probability"))[1]
 
 
+def _transform(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows that are assembled already skip the first stage."""
+    stages = model.stages[1:] if FEATURES in df.columns else model.stages
+    return PipelineModel(stages).transform(df)
+
+
 def score_pair(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
     """Scores of the pair and their blend; the first alone if there is no second."""
-    keep = df.columns
+    keep = [c for c in df.columns if c != FEATURES]
     both = f"{SECOND}_probability" in [s.getOrDefault("probabilityCol") for s in model.stages[1:]]
     second = probability(SECOND) if both else None
-    scored = model.transform(df)
+    scored = _transform(model, df)
     columns = [probability(FIRST).alias("first_score")]
     if both:
         columns.append(second.alias("second_score"))
@@ -152,4 +160,6 @@ def score_ranker(model: PipelineModel, df: DataFrame, name: str = "pred") -> Dat
 def importances(model: PipelineModel, features: Sequence[str], stage: int = 1) -> DataFrame:
     """Gain importance of each feature of one of the model's stages."""
     values = model.stages[stage].featureImportances.toArray().tolist()  # one per feature
-    return SparkSession.active().createDataFrame(list(zip(features, values)), "feature string, importance double")
+    return SparkSession.active().createDataFrame(
+        list(zip(features, values)), "feature string, importance double"
+    )

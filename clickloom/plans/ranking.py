@@ -13,7 +13,7 @@ from ..operators.joins import HOT_ROWS
 from ..operators.ranking import with_rank_score
 from ..operators.selection import VarianceFilter
 from ..session import written
-from .models import Boosting, fit_ranker, score_ranker
+from .models import Boosting, assembled, fit_ranker, score_ranker
 
 # Fixed values.
 ID_PREFIX = "id"
@@ -49,7 +49,7 @@ def rank_submission(
     train = train.fillna(0, subset=kept)
     test = align(test, kept, keep=ID_COLUMNS).fillna(0, subset=kept)
     held_out = F.coalesce(fold_of(filled_text(F.col("id2"), NULL_CLASS), FOLDS) == 0, F.lit(False))
-    model = fit_ranker(train, kept, label, held_out, settings)
+    model = fit_ranker(assembled(train, kept, label, held_out), kept, settings)
     # read twice below, for the range per customer and for the rows: score once
     scored = written(score_ranker(model, test).select(*ID_COLUMNS, "pred"), "scores")
     ranked = with_rank_score(scored, hot_rows=hot_rows)

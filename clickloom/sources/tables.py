@@ -32,19 +32,27 @@ def read_csv(
     null_words: Sequence[str] = NULL_WORDS,
     lenient: bool = False,
     timestamp_format: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """CSV with a header, columns found by name, missing-value words turned to null.
 
     With a schema, text that does not fit a column's type is an error, or null if ``lenient``.
-    Without one the types are learnt from the data by one aggregate.
+    Without one the types are learnt from the data by one aggregate. ``position`` names a column
+    to add that orders the rows as they stand in the files, for rules such as "the last one wins".
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.option("header", True).option("escape", '"').csv(paths)
-    raw = raw.select(*[blank_words(F.col(f"`{c}`"), null_words).alias(c) for c in raw.columns])
+    raw = raw.withColumns({c: blank_words(F.col(f"`{c}`"), null_words) for c in raw.columns})
     if schema is None:
         schema = infer_types(raw)
     there = [f for f in schema.fields if f.name in raw.columns]
-    return raw.select(*[_typed(f, lenient, timestamp_format) for f in there])
+    typed = [_typed(f, lenient, timestamp_format) for f in there]
+    if position:
+        typed.append(F.struct(
+            "_metadata.file_path", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("row"),
+        ).alias(position))
+    return raw.select(*typed)
 
 
 def _typed(f: T.StructField, lenient: bool, fmt: str | None):
