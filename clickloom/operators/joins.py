@@ -33,13 +33,18 @@ def rename_collisions(
     )
 
 
-def _left(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    keep = left.columns + [c for c in right.columns if c not in keys]
+def _left(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool, salt: Sequence[str] = ()
+) -> DataFrame:
+    """Left join on ``keys``, where missing ones may match, and on ``salt``, which is never missing."""
+    on = [*keys, *salt]
+    keep = left.columns + [c for c in right.columns if c not in on]
     if not null_safe:
-        return left.join(right, list(keys), "left").select(*keep)
-    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return left.join(right, on, "left").select(*keep)
+        return left.join(right, on, "left").select(*keep)
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    same += [F.col(k) == F.col(f"_right_{k}") for k in salt]
+    return left.join(right, reduce(and_, same), "left").select(*keep)
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -126,7 +131,7 @@ def _spread(
     fact = _left(fact, hot, keys, True).withColumn(_SALT, salt).drop(_SALTS)
     copies = F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)
     lookup = _left(lookup, hot, keys, True).withColumn(_SALT, F.explode(copies)).drop(_SALTS)
-    return _left(fact, lookup, [*keys, _SALT], null_safe).drop(_SALT)
+    return _left(fact, lookup, keys, null_safe, [_SALT]).drop(_SALT)
 
 
 @dataclass(frozen=True)

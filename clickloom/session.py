@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A wide impression row is costly to sort: hash join whenever every build partition is small.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Several hundred feature columns would otherwise switch whole-stage code generation off.
     "spark.sql.codegen.maxFields": "500",
     "spark.sql.session.timeZone": "UTC",
