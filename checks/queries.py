@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.calendar import calendar_parts
 from clickloom.functions.offers import active_flag, discount_bucket as bucket_of
 from clickloom.functions.scores import blend, hard_label
-from clickloom.functions.values import number, parse_timestamp as parse
+from clickloom.functions.values import number, parse_timestamp as parse, wall_clock
 from clickloom.operators import aggregates, columns, metrics, ranking, selection, splits
 from clickloom.operators.encoders import LabelEncoder
 from clickloom.operators.numeric_rule import number_shares
@@ -62,7 +62,7 @@ def calendar_features(spark, sf):
 
 
 def offer_active_flag(spark, sf):
-    flag = active_flag(F.col("id12"), F.col("id13"), F.lit(AS_OF).cast("timestamp_ntz"))
+    flag = active_flag(F.col("id12"), F.col("id13"), wall_clock(AS_OF))
     return views.offers(spark, sf).select("id3", "id12", "id13", flag.alias("is_currently_active"))
 
 
@@ -269,7 +269,7 @@ def dedupe_last(spark, sf):
 
 def _matched(spark, sf):
     """Test rows as the template, training rows as the predictions, which repeat keys."""
-    known = views.scored(spark, sf).where(F.col("id5") < F.lit(AS_OF.date()))
+    known = views.scored(spark, sf).where(F.col("id5") < wall_clock(AS_OF.date()))
     predictions = known.select("id1", "id2", "id3", F.col("first_score").alias("pred"))
     return match_template(views.test(spark, sf).select("id1", "id2", "id3"), predictions, "id1")
 

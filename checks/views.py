@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions.values import wall_clock
 from clickloom.sources.tables import read_parquet
 
 AS_OF = datetime(2024, 1, 24)
@@ -43,11 +44,11 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impressions(spark, sf_dir).where(F.col("id5") < F.lit(AS_OF.date()))
+    return impressions(spark, sf_dir).where(F.col("id5") < wall_clock(AS_OF.date()))
 
 
 def test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impressions(spark, sf_dir).where(F.col("id5") >= F.lit(AS_OF.date())).drop("y")
+    return impressions(spark, sf_dir).where(F.col("id5") >= wall_clock(AS_OF.date())).drop("y")
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +79,7 @@ def trans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     past = table(spark, sf_dir, "events").where(
-        F.col("event_type").isin("view", "click") & (F.col("ts") < F.lit(AS_OF).cast("timestamp_ntz"))
+        F.col("event_type").isin("view", "click") & (F.col("ts") < wall_clock(AS_OF))
     )
     return past.select(F.col("user_id").alias("id2"), _offer_key().alias("id3"))
 

@@ -14,7 +14,7 @@ TOP_BUCKET = "50+"
 
 def active_flag(start: Column, end: Column, as_of: Column) -> Column:
     """1 if the day of ``as_of`` lies in the window; an open end never closes it."""
-    today = F.date_trunc("day", as_of).cast("timestamp_ntz")
+    today = as_of.cast("date").cast("timestamp_ntz")
     return (
         (start.isNull() | (start <= today)) & (end.isNull() | (end >= today))
     ).cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,13 @@ def strict_timestamp(col: Column, fmt: str | None = None) -> Column:
     return F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else col.cast("timestamp_ntz")
 
 
+def wall_clock(moment: date) -> Column:
+    """A date or time as a literal that no time zone moves."""
+    if isinstance(moment, datetime):
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(moment.isoformat()).cast("date")
+
+
 def filled_text(col: Column, filler: str) -> Column:
     """Text with ``filler`` for a missing value."""
     return F.coalesce(col.cast("string"), F.lit(filler))

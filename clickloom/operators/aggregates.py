@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_between
-from ..functions.values import number, strict_timestamp
+from ..functions.values import number, strict_timestamp, wall_clock
 
 
 def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,13 +23,12 @@ def impression_counts(events: DataFrame, name: str = "past_impression_count") ->
 
 
 def rfm(
-    trans: DataFrame, as_of: datetime | Column, amount: str = "f367", time: str = "f370"
+    trans: DataFrame, as_of: datetime, amount: str = "f367", time: str = "f370"
 ) -> DataFrame:
     """Recency in days at ``as_of``, frequency and monetary value per customer.
 
     A time kept as text must be one; text that is not is an error.
     """
-    end = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp_ntz")
     return (
         _keyed(trans, ["id2"])
         .groupBy("id2")
@@ -38,7 +37,7 @@ def rfm(
             F.count("id2").alias("frequency"),
             F.coalesce(F.sum(number(trans, amount)), F.lit(0.0)).alias("monetary"),
         )
-        .select("id2", days_between(F.col("_last"), end).alias("recency"), "frequency", "monetary")
+        .select("id2", days_between(F.col("_last"), wall_clock(as_of)).alias("recency"), "frequency", "monetary")
     )
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import fold_of, hash_number
+from ..functions.values import wall_clock
 
 
 def time_split(df: DataFrame, column: str, at: date | datetime) -> tuple[DataFrame, DataFrame]:
     """Rows before ``at`` and rows from ``at`` on; a missing date is in neither."""
-    return df.where(F.col(column) < F.lit(at)), df.where(F.col(column) >= F.lit(at))
+    moment = wall_clock(at)
+    return df.where(F.col(column) < moment), df.where(F.col(column) >= moment)
 
 
 def in_sample(key: Column, share: float, seed: int = 42) -> Column:

@@ -8,13 +8,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import number, parse_timestamp
+from ..functions.values import number, parse_timestamp, wall_clock
 from ..operators.columns import align, target_column, text_columns
 from ..operators.encoders import LabelEncoder
 from ..operators.metrics import log_losses
 from ..operators.numeric_rule import NumericRuleModel
 from ..operators.splits import in_sample
-from ..operators.submission import format_submission
+from ..operators.submission import format_submission, usable
 from ..sources.bundle import Bundle
 from .models import HELD_OUT, LABEL, SEED, Boosting, assembled, fit_pair, score_pair
 from .training import (
@@ -50,7 +50,7 @@ def train(
     if "id5" in table.columns:
         if "id5" in text_columns(table):
             table = table.withColumn("id5", parse_timestamp(F.col("id5"), date_formats))
-        held_out = F.col("id5") >= F.lit(split)
+        held_out = F.col("id5") >= wall_clock(split)
         table = table.where(held_out.isNotNull())  # a row without a date is in neither part
     else:
         held_out = in_sample(F.col("id1"), 0.2, SEED)
@@ -126,5 +126,6 @@ def submission(
     keep: set[str] | None = None,
 ) -> DataFrame:
     """Scored impressions in the layout of a submission."""
+    keep = usable(impressions) if keep is None else keep
     scored = score(bundle, impressions, offers, trans, as_of, date_formats, shared_encoding)
     return format_submission(scored, keep, date_formats=tuple(date_formats))

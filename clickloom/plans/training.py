@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.offers import UNKNOWN_BUCKET, active_flag, discount_bucket
-from ..functions.values import number, parse_timestamp
+from ..functions.values import number, parse_timestamp, wall_clock
 from ..operators.aggregates import transaction_features
 from ..operators.columns import keep_existing, target_column, text_columns, with_defaults
 from ..operators.joins import HOT_ROWS, Lookup, attach
@@ -37,7 +37,7 @@ def offer_meta(
     df = offers.withColumns(dates) if dates else offers
     active = F.lit(META_DEFAULTS["is_currently_active"])
     if "id12" in df.columns and "id13" in df.columns:
-        active = active_flag(F.col("id12"), F.col("id13"), F.lit(as_of).cast("timestamp_ntz"))
+        active = active_flag(F.col("id12"), F.col("id13"), wall_clock(as_of))
     bucket = F.lit(META_DEFAULTS["discount_bucket"])
     if "f376" in df.columns:
         bucket = discount_bucket(number(df, "f376"))

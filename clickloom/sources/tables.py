@@ -33,15 +33,18 @@ def read_csv(
     lenient: bool = False,
     timestamp_format: str | None = None,
     position: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header, columns found by name, missing-value words turned to null.
 
     With a schema, text that does not fit a column's type is an error, or null if ``lenient``.
     Without one the types are learnt from the data by one aggregate. ``position`` names a column
     to add that orders the rows as they stand in the files, for rules such as "the last one wins".
+    ``multi_line`` allows line breaks in quotes; such files cannot be split among tasks.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.option("header", True).option("escape", '"').csv(paths)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    raw = reader.csv(paths)
     raw = raw.withColumns({c: blank_words(F.col(f"`{c}`"), null_words) for c in raw.columns})
     if schema is None:
         schema = infer_types(raw)

@@ -208,6 +208,19 @@ def test_query_equals_sql(spark, name):
     assert differences(got, con, registry.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_results_do_not_depend_on_the_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        con = connect(SMALL)
+        for name in ("feature_table", "offer_active_flag", "temporal_split", "parse_timestamp"):
+            got = registry.queries()[name](spark, SMALL)
+            assert differences(got, con, registry.oracle_sql()[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_entry(spark):
     df = registry.entry(spark)
     assert df.count() == 1000 and len(df.columns) == 17

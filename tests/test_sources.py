@@ -93,6 +93,33 @@ def test_written_table_ends_the_lineage(spark):
     assert shared_folder(spark) in kept.inputFiles()[0]
 
 
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 's,i\n"a\nb",1\nc,2\n')
+    assert tables.read_csv(spark, path, multi_line=True).collect() == [("a\nb", 1), ("c", 2)]
+
+
+class Session:
+    """Only what the choice of the folder looks at."""
+
+    def __init__(self, folder, master):
+        self.conf, self.sparkContext, self.master = self, self, master
+        self.folder = folder
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.folder
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder_is_the_clusters():
+    assert shared_folder(Session("s3a://bucket/x/", "yarn")) == "s3a://bucket/x"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(None, "yarn"))
+    assert shared_folder(Session(None, "local[2]")) == shared_folder(Session(None, "local[2]"))
+
+
 def test_bundle_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("b", "1", 1.0), ("a", "2", 2.0), (None, None, 3.0)],
                                "s string, n string, f double")
