@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Several hundred feature columns would otherwise switch whole-stage code generation off.
-    "spark.sql.codegen.maxFields": "500",
     "spark.sql.session.timeZone": "UTC",
 }
 
