@@ -13,6 +13,9 @@ from ..functions.values import filled_text
 from ..session import written
 from .joins import BROADCAST_BYTES, Lookup, attach
 
+# Above this many other columns they pass the joins as one struct, copied as a block of bytes.
+WIDE = 50
+_REST = "_rest"
 _PART_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -88,7 +91,10 @@ class LabelEncoderModel:
         """
         order = df.columns
         names = [c for c in (columns or self.columns) if c in df.columns]
-        df = df.withColumns({c: _class_text(c, self.filler) for c in names})
+        rest = [c for c in order if c not in names]
+        texts = [_class_text(c, self.filler).alias(c) for c in names]
+        pack = len(rest) > WIDE
+        df = df.select(*([F.struct(*rest).alias(_REST)] if pack else rest), *texts)
         large = []
         for c in names:
             classes = self.table.where(F.col("column") == c).select(
@@ -99,13 +105,15 @@ class LabelEncoderModel:
             else:
                 large.append(Lookup(classes, [c]))
         df = attach(df, large)
-        codes = {
+        out = {
             c: F.when(F.col(c).isNull(), F.lit(null_code)).otherwise(
                 F.coalesce(F.col(f"_code_{c}"), _unseen(c, unseen))
             ).cast("bigint").alias(c)
             for c in names
         }
-        return df.select(*[codes.get(c, F.col(c)) for c in order])
+        if pack:
+            out |= {c: F.col(_REST).getField(c).alias(c) for c in rest}
+        return df.select(*[out.get(c, F.col(c)) for c in order])
 
 
 def _class_text(name: str, filler: str | None) -> Column:

@@ -111,6 +111,19 @@ def test_many_classes_over_many_partitions(spark, limit):
     assert len(got) == 4000 and all(want[v] == c for v, c in got)
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_many_other_columns_come_through_unchanged(spark, limit):
+    """They pass the joins packed; names, order, types and values stay."""
+    df = spark.createDataFrame([("b", "x"), ("a", None), (None, "y")], "s string, t string").select(
+        "s", *[(F.ascii("t") * i).alias(f"c{i}") for i in range(60)], "t", F.lit(None).alias("n"))
+    model = LabelEncoder(["s", "t"]).fit(df)
+    got = model.transform(df, limit=limit)
+    assert got.columns == df.columns
+    assert dict(got.dtypes) == {**dict(df.dtypes), "s": "bigint", "t": "bigint"}
+    rows = {r["s"]: (r["t"], r["c2"], r["n"]) for r in got.collect()}
+    assert rows == {1: (0, 240, None), 0: (-1, None, None), -1: (1, 242, None)}
+
+
 def test_unseen_policies(spark):
     seen = spark.createDataFrame([("b",), ("c",)], "s string")
     new = spark.createDataFrame([("c",), ("x",), (None,)], "s string").coalesce(1)
