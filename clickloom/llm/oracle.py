@@ -2,4 +2,33 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+# The table of slots is filled turn by turn in a recursion; a document looks its slot up.
+SHARDING = """
+with recursive shards as (
+  select i as turn, 'shard-' || lpad(cast(i as varchar), 2, '0') as shard from range(64) t(i)),
+prefs as (
+  select turn, shard,
+    cast('0x' || substr(md5('offset:' || shard), 1, 8) as bigint) % 2147483648 % 6553 as first,
+    cast('0x' || substr(md5('skip:' || shard), 1, 8) as bigint) % 2147483648 % 6552 + 1 as skip
+  from shards),
+fill as (
+  select cast(-1 as bigint) as step, cast(-1 as bigint) as slot, '' as shard,
+    list_transform(range(6553), lambda s: false) as taken
+  union all
+  select n.step, n.slot, n.shard,
+    list_concat(list_concat(n.taken[:n.slot], [true]), n.taken[n.slot + 2:]) from (
+    select f.step + 1 as step, p.shard, f.taken,
+      list_filter(list_transform(range(6553), lambda c: (p.first + c * p.skip) % 6553),
+                  lambda s: not f.taken[s + 1])[1] as slot
+    from fill f join prefs p on p.turn = (f.step + 1) % 64 where f.step < 6552) n)
+select d.doc_id, cast(f.slot as integer) as slot, f.shard
+from documents d join fill f on f.step >= 0 and f.slot =
+  cast('0x' || substr(md5('key:' || coalesce(cast(d.doc_id as varchar), '')), 1, 8) as bigint)
+    % 2147483648 % 6553
+"""
+
+# Base counts by unnested words; limits come from sketches, so `kept` has no SQL and op4 no entry.
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_sharding": SHARDING,
+}
