@@ -1,0 +1,8 @@
+"""Operators for preparing training data, each over whole tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no copy of this package: functions and classes travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -29,6 +29,16 @@ from documents d join fill f on f.step >= 0 and f.slot =
 
 # Base counts by unnested words; limits come from sketches, so `kept` has no SQL and op4 no entry.
 
+WARC = """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n from pages),
+f as (select html, min(page_id) as first from p where n >= 100 group by html having count(*) > 1)
+select p.page_id, cast(p.n as bigint) as payload_bytes, sha256(p.html) as payload_digest,
+  case when p.page_id > f.first then 'revisit' else 'response' end as record_type,
+  case when p.page_id > f.first then f.first end as refers_to
+from p left join f on f.html = p.html
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_warc": WARC,
     "op9_sharding": SHARDING,
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, quality, shards
+from ..session import shared_folder
+from . import html, quality, shards, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +36,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/clickloom/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archive(spark, path)
+    whole = F.col("record_type") == "response"
+    return read.select(
+        "page_id",
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
