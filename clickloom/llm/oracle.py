@@ -38,7 +38,22 @@ select p.page_id, cast(p.n as bigint) as payload_bytes, sha256(p.html) as payloa
 from p left join f on f.html = p.html
 """
 
+TOP_K = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+where rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_top_k": TOP_K,
     "op10_warc": WARC,
     "op9_sharding": SHARDING,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import html, packing, quality, shards, warc
+from . import html, packing, quality, shards, topk, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, F.col("vec_id") % 50 == 0)
