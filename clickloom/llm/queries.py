@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import html, packing, quality, shards, topk, warc
+from . import html, neardup, packing, quality, shards, topk, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.connect(table(spark, sf_dir, "documents"), words=3, percent=85)
