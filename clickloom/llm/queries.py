@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import html, neardup, packing, quality, shards, topk, warc
+from . import html, neardup, packing, quality, shards, suffixes, topk, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,10 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.connect(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.cut_repeats(docs).select(
+        F.col("_0").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
