@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,28 +27,36 @@ def start(app: str = "clickloom", master: str | None = None, **settings: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Where that is not set, a folder below the warehouse serves, unless executors on other machines
+    could not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_this_machine = warehouse.startswith(("file:", "/"))
+    if on_this_machine and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="clickloom-")
+    return f"{warehouse}/_scratch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends here.
 
     Used where a result is read many times (training rows, encoder classes) or must not be
-    computed twice (row numbers given by position). The table outlives lost executors.
+    computed twice (row numbers given by position). The table outlives lost executors; ``discard``
+    deletes it once nothing reads it any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/clickloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made; whatever still reads them would fail."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
