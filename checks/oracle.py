@@ -51,6 +51,7 @@ def _variance(name: str, value: str) -> str:
 
 
 JOINED = "joined as (select t.*, m.* exclude (id3) from train t left join meta m on t.id3 = m.id3)"
+JOINED_ALL = JOINED.replace("from train t", "from impressions t")
 LAST = """last as (
     select id2, id3, pred from (
         select id2, id3, first_score as pred,
@@ -73,35 +74,41 @@ def _build() -> dict[str, str]:
         else:
             q[name] = with_views(views, query) if views else query.strip()
 
-    add("scan_parquet", [], "select event_id, ts, user_id, event_type, value from events")
-    add("missing_meta_defaults", ["train"], """
+    add("scan_parquet", [], "select * from events")
+    add("scan_tables", [], " union all ".join(
+        f"select '{t}' as \"table\", count(*) as rows, count({second}) as second_values, "
+        f"cast(min({key}) as bigint) as low, cast(max({key}) as bigint) as high from {t}"
+        for t, key, second in (("events", "event_id", "ts"), ("orders", "o_orderkey", "o_custkey"),
+                               ("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"),
+                               ("lineitem", "l_orderkey", "l_partkey"))))
+    add("missing_meta_defaults", ["impressions"], """
         select * replace (cast(id5 as varchar) as id5), cast(1 as integer) as is_currently_active, 'unk' as discount_bucket,
                cast(0 as integer) as trans_cnt, cast(0 as double) as trans_amt_sum,
-               cast(0 as double) as trans_amt_mean from train""")
+               cast(0 as double) as trans_amt_mean from impressions""")
     add("normalize_keys", ["impressions"],
         "select id1, cast(id2 as varchar) as id2, cast(id3 as bigint) as id3 from impressions")
-    add("coerce_numeric", ["trans"],
-        "select id2, f367, coalesce(try_cast(f367 as double), 0) as amount from trans")
+    add("coerce_numeric", ["trans_all"],
+        "select id2, f367, coalesce(try_cast(f367 as double), 0) as amount from trans_all")
     add("parse_timestamp", ["dated_text"], """
         select id1, id4, cast(try_strptime(id4, ['%Y-%m-%d %H:%M:%S', '%m/%d/%Y']) as timestamp)
             as parsed from dated_text""")
     add("calendar_features", ["impressions"], f"select id1, {PARTS} from impressions")
-    add("offer_active_flag", ["offers", "meta"], """
+    add("offer_active_flag", ["offers_all", "meta_all"], """
         select o.id3, o.id12, o.id13, m.is_currently_active
-        from offers o join meta m on o.id3 = m.id3""")
-    add("discount_bucket", ["meta"], "select id3, f376, discount_bucket from meta")
-    add("offer_meta_prep", ["meta"], "select * from meta")
-    add("feature_projection", ["train", "meta"],
+        from offers_all o join meta_all m on o.id3 = m.id3""")
+    add("discount_bucket", ["meta_all"], "select id3, f376, discount_bucket from meta_all")
+    add("offer_meta_prep", ["meta_all"], "select * from meta_all")
+    add("feature_projection", ["impressions", "meta"],
         "select f1, coalesce(is_currently_active, 0) as is_currently_active, "
-        "coalesce(f376, 0) as f376 from joined", JOINED)
-    add("align_features", ["test"], """
+        "coalesce(f376, 0) as f376 from joined", JOINED_ALL)
+    add("align_features", ["impressions"], """
         select id1, cast(0 as double) as past_impression_count, f1, cast(0 as double) as f2
-        from test""")
-    add("fill_nulls", ["offers"], """
+        from impressions""")
+    add("fill_nulls", ["offers_all"], """
         select id3, id10, coalesce(f376, -1) as f376, id13, coalesce(f376, 0) as all_filled, id11
-        from offers""")
-    add("infer_numeric_columns", ["trans", "offers", "dated_text"], " union all ".join([
-        _shares("trans", "f367"), *[_shares("offers", c) for c in ("id9", "id10", "id11")],
+        from offers_all""")
+    add("infer_numeric_columns", ["trans_all", "offers_all", "dated_text"], " union all ".join([
+        _shares("trans_all", "f367"), *[_shares("offers_all", c) for c in ("id9", "id10", "id11")],
         _shares("dated_text", "id4"),
     ]))
     add("column_all_zero", ["impressions"], " union all ".join([
@@ -127,13 +134,13 @@ def _build() -> dict[str, str]:
         select i.id1, round(ctr_offer, 9) as ctr_offer, round(ctr_user, 9) as ctr_user
         from impressions i left join offer_rates o on i.id3 = o.id3
         left join user_rates u on i.id2 = u.id2""")
-    add("group_sizes", ["train"], "select id2, count(*) as group_size from train group by id2")
-    add("variance_filter", ["train", "meta"], " union all ".join([
+    add("group_sizes", ["impressions"], "select id2, count(*) as group_size from impressions group by id2")
+    add("variance_filter", ["impressions", "meta"], " union all ".join([
         _variance("f1", "f1"), _variance("y", "y"),
         _variance("is_currently_active", "is_currently_active"), _variance("f376", "f376"),
         _variance("constant", "1"),
-    ]), JOINED)
-    add("target_distribution", ["train"], "select y, count(*) as n from train group by y")
+    ]), JOINED_ALL)
+    add("target_distribution", ["impressions"], "select y, count(*) as n from impressions group by y")
     names = ("discount_bucket", "id9", "id10", "id11")
     add("label_encode", ["train", "meta"],
         "select j.id1, " + ", ".join(f"coalesce(c_{n}.code, -1) as {n}" for n in names)
@@ -155,9 +162,9 @@ def _build() -> dict[str, str]:
         from texts t left join c_pair a on t.pair = a.v left join c_id11 b on t.id11 = b.v
         where t.id5 >= date '2024-01-24'""",
         ",\n".join([texts, _classes("c_pair", "seen", "pair"), _classes("c_id11", "seen", "id11")]))
-    add("group_fold", ["train"], """
+    add("group_fold", ["impressions"], """
         select id1, id2, cast(cast('0x' || substr(md5(cast(id2 as varchar)), 1, 8) as bigint) % 5
-            as integer) as fold from train""")
+            as integer) as fold from impressions""")
     add("temporal_split", ["impressions"], """
         select id1, case when id5 < date '2024-01-24' then 'train' else 'valid' end as part
         from impressions""")
@@ -222,6 +229,50 @@ def _build() -> dict[str, str]:
         + "from joined j " + " ".join(f"left join c_{n} on j.{n} = c_{n}.v" for n in names)
         + " left join spending s on j.id2 = s.id2",
         ",\n".join([JOINED, *[_classes(f"c_{n}", "joined", n) for n in names]]))
+    add("gbt_scores", ["impressions"],
+        "select id1, id2, id3, y, true as in_range from impressions where id5 >= date '2024-01-24'")
+    add("ensemble_scores", ["impressions"], """
+        select id1, id2, id3, y, true as first_in_range, true as second_in_range, true as is_blend
+        from impressions where id5 >= date '2024-01-24'""")
+    # features: f1, five parts of a date, seven offer columns without the id, three of spending
+    add("top_importance", [], """
+        select cast(r as integer) as rank, true as falls, true as adds_up
+        from range(1, 16) t(r)""")
+    add("submission", ["test"], """
+        select cast(id1 as varchar) as id1, id2, id3, strftime(id5, '%m/%d/%Y') as id5, true as in_range
+        from test""")
+    add("rf_scores", ["test"],
+        "select id1, id2, id3, true as in_range, true as is_label from test")
+    add("ranker_scores", ["test"],
+        "select id1, id2, id3, true as in_range, true as is_scaled from test")
+    add("join_collisions", ["impressions", "offers", "spending"], """
+        select i.id1, i.id2, i.id3, i.f1 as f376_x, coalesce(o.f376, -5) as f376_y,
+               coalesce(o.id9, 'none') as trans_cnt_x, coalesce(s.trans_cnt, 0) as trans_cnt_y
+        from impressions i left join offers o on i.id3 = o.id3 left join spending s on i.id2 = s.id2""")
+    add("variance_with_nan", ["impressions"], """
+        select 'f1' as feature, round(var_pop(f1), 6) as variance, var_pop(f1) > 1e-5 as kept
+        from impressions where id1 % 7 <> 0
+        union all select 'constant', cast(0 as double), false""")
+    add("numeric_rule_types", ["impressions"], f"""
+        select id1, cast(f1 > 20 as integer) as flag, round(f1, 6) as f1,
+               cast(1 - y as bigint) as word, {PARTS} from impressions""")
+    add("infer_date_format", ["impressions"], """
+        select id1, case when id1 % 5 = 0 then null else date_trunc('day', id4)::timestamp end as parsed
+        from impressions""")
+    add("template_by_row", ["test", "scored"], """
+        select t.id1, t.id2, t.id3, cast(s.first_score > 0.5 as integer) as pred
+        from test t join scored s on t.id1 = s.id1""")
+    add("csv_round_trip", ["impressions"], "select id1, id2, id3, id4, f1, y from impressions")
+    add("dictionary_comments", [], """
+        select 'f' || p_partkey as masked_column, p_name || ', "quoted"' as "Description",
+               'Numerical' as "Type" from part""")
+    add("bundle_round_trip", ["test"], "select id1, true as same from test")
+    add("strict_timestamp", ["impressions"],
+        "select id1, date_trunc('second', id4)::timestamp as parsed from impressions")
+    add("target_choice", ["impressions"], 'select id1, 1 - y as "both", y as one from impressions')
+    add("sorted_rows", ["impressions"], "select id1, cast(id5 as varchar) as id5 from impressions")
+    add("first_rows", ["scored"],
+        "select id1, first_score from scored order by first_score desc, id1 limit 3")
     return q
 
 

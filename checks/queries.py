@@ -2,36 +2,46 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
+from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.calendar import calendar_parts
 from clickloom.functions.offers import active_flag, discount_bucket as bucket_of
 from clickloom.functions.scores import blend, hard_label
-from clickloom.functions.values import number, parse_timestamp as parse, wall_clock
-from clickloom.operators import aggregates, columns, metrics, ranking, selection, splits
+from clickloom.functions.values import infer_date_format as infer_format
+from clickloom.functions.values import number, parse_timestamp as parse, strict_timestamp as strictly, wall_clock
+from clickloom.operators import aggregates, columns, joins, metrics, ranking, selection, splits
 from clickloom.operators.encoders import LabelEncoder
-from clickloom.operators.numeric_rule import number_shares
+from clickloom.operators.numeric_rule import NumericRule, number_shares
 from clickloom.operators.submission import format_submission, match_template
 from clickloom.plans import boosted, features, forest, models, ranking as rank_plan, training
-from clickloom.plans.models import Boosting
-from clickloom.session import written
-from clickloom.sources.tables import read_parquet
+from clickloom.session import shared_folder, written
+from clickloom.sources.bundle import load_bundle, save_bundle
+from clickloom.sources.tables import read_csv, read_dictionary, read_parquet, write_csv
 
 from . import views
 from .views import AS_OF
 
-SMALL = Boosting(rounds=5, depth=4, rate=0.1)
-SMALL_TOO = Boosting(rounds=5, depth=3, rate=0.1, seed=43)
-
 
 # sources and projections
 
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
-    events = read_parquet(spark, f"{sf}/events.parquet", views.SCHEMAS["events"])
-    return events.drop("props")
+    return read_parquet(spark, f"{sf}/events.parquet", views.SCHEMAS["events"])
+
+
+def scan_tables(spark, sf):
+    """Rows, values and range of the first two columns of the five tables that stand for the inputs."""
+    parts = []
+    for name in ("events", "orders", "part", "customer", "lineitem"):
+        df = read_parquet(spark, f"{sf}/{name}.parquet")
+        key, second = df.columns[:2]
+        parts.append(df.agg(
+            F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"), F.count(second).alias("second_values"),
+            F.min(key).cast("bigint").alias("low"), F.max(key).cast("bigint").alias("high")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _day_as_text(df):
@@ -39,7 +49,7 @@ def _day_as_text(df):
 
 
 def missing_meta_defaults(spark, sf):
-    df = training.with_offer_meta(views.train(spark, sf), None)
+    df = training.with_offer_meta(views.impressions(spark, sf), None)
     return _day_as_text(training.with_transactions(df, None))
 
 
@@ -48,7 +58,7 @@ def normalize_keys(spark, sf):
 
 
 def coerce_numeric(spark, sf):
-    trans = views.trans(spark, sf)
+    trans = views.trans_all(spark, sf)
     return trans.select("id2", "f367", number(trans, "f367", 0.0).alias("amount"))
 
 
@@ -63,39 +73,39 @@ def calendar_features(spark, sf):
 
 def offer_active_flag(spark, sf):
     flag = active_flag(F.col("id12"), F.col("id13"), wall_clock(AS_OF))
-    return views.offers(spark, sf).select("id3", "id12", "id13", flag.alias("is_currently_active"))
+    return views.offers_all(spark, sf).select("id3", "id12", "id13", flag.alias("is_currently_active"))
 
 
 def discount_bucket(spark, sf):
-    offers = views.offers(spark, sf)
+    offers = views.offers_all(spark, sf)
     return offers.select("id3", "f376", bucket_of(number(offers, "f376")).alias("discount_bucket"))
 
 
 def offer_meta_prep(spark, sf):
-    return training.offer_meta(views.offers(spark, sf), AS_OF)
+    return training.offer_meta(views.offers_all(spark, sf), AS_OF)
 
 
 def feature_projection(spark, sf):
-    df = training.with_offer_meta(views.train(spark, sf), views.offers(spark, sf), AS_OF)
+    df = training.with_offer_meta(views.impressions(spark, sf), views.offers(spark, sf), AS_OF)
     df = columns.drop_columns(df, ["y", "not_there"], prefix="id")
     return columns.fill(columns.numeric_only(df), 0)
 
 
 def align_features(spark, sf):
     train_features = ["past_impression_count", "f1", "f2"]
-    return columns.align(views.test(spark, sf), train_features, keep=["id1"], default=0.0)
+    return columns.align(views.impressions(spark, sf).drop("y"), train_features, keep=["id1"], default=0.0)
 
 
 def fill_nulls(spark, sf):
-    df = columns.fill(views.offers(spark, sf).select("id3", "id10", "f376", "id13"), {"f376": -1.0})
-    rows = views.offers(spark, sf).select("id3", F.col("f376").alias("all_filled"), "id11")
+    df = columns.fill(views.offers_all(spark, sf).select("id3", "id10", "f376", "id13"), {"f376": -1.0})
+    rows = views.offers_all(spark, sf).select("id3", F.col("f376").alias("all_filled"), "id11")
     return df.join(columns.fill(rows, 0), "id3", "left")
 
 
 def infer_numeric_columns(spark, sf):
     parts = [
-        number_shares(views.trans(spark, sf), ["f367"]),
-        number_shares(views.offers(spark, sf), ["id9", "id10", "id11"]),
+        number_shares(views.trans_all(spark, sf), ["f367"]),
+        number_shares(views.offers_all(spark, sf), ["id9", "id10", "id11"]),
         number_shares(views.dated_text(spark, sf), ["id4"]),
     ]
     shares = parts[0].unionAll(parts[1]).unionAll(parts[2])
@@ -156,18 +166,18 @@ def ctr_encoding(spark, sf):
 
 
 def group_sizes(spark, sf):
-    return aggregates.group_sizes(views.train(spark, sf))
+    return aggregates.group_sizes(views.impressions(spark, sf))
 
 
 def variance_filter(spark, sf):
-    df = training.with_offer_meta(views.train(spark, sf), views.offers(spark, sf), AS_OF)
+    df = training.with_offer_meta(views.impressions(spark, sf), views.offers(spark, sf), AS_OF)
     df = columns.with_defaults(df, {"constant": 1.0})
     names = ["f1", "y", "is_currently_active", "f376", "constant"]
     return selection.variances(df, names).withColumn("variance", F.round("variance", 6))
 
 
 def target_distribution(spark, sf):
-    return aggregates.target_distribution(views.train(spark, sf), "y")
+    return aggregates.target_distribution(views.impressions(spark, sf), "y")
 
 
 # encoders and splits
@@ -205,7 +215,7 @@ def encode_unseen(spark, sf):
 
 
 def group_fold(spark, sf):
-    return splits.with_group_fold(views.train(spark, sf)).select("id1", "id2", "fold")
+    return splits.with_group_fold(views.impressions(spark, sf)).select("id1", "id2", "fold")
 
 
 def temporal_split(spark, sf):
@@ -322,35 +332,54 @@ def _rounded_spending():
     ]
 
 
-def _bundle(spark, sf, second=SMALL_TOO):
-    return boosted.train(
-        views.impressions(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF,
-        AS_OF, dates=["id4"], first=SMALL, second=second,
+@lru_cache(maxsize=4)
+def _bundle(spark, sf, pair=True):
+    """The fitted boosters at the library's own settings; fitted once for the queries that use them."""
+    settings = {} if pair else {"second": None}
+    bundle, rows = boosted.train(
+        views.impressions(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF, AS_OF,
+        **settings,
     )
+    return bundle, written(rows, "scored")
+
+
+def _is_share(name):
+    return F.col(name).between(0, 1)
 
 
 def gbt_scores(spark, sf):
-    _, scored = _bundle(spark, sf, second=None)
-    return scored.select("id1", "id2", "id3", "y", "pred")
+    """Held-out rows with one score each. What scores must satisfy is a column; their values are not."""
+    _, scored = _bundle(spark, sf, False)
+    return scored.select("id1", "id2", "id3", "y", _is_share("pred").alias("in_range"))
 
 
 def ensemble_scores(spark, sf):
     _, scored = _bundle(spark, sf)
-    return scored.select("id1", "id2", "id3", "y", "first_score", "second_score", "pred")
+    blend_error = F.abs(F.col("pred") - (0.7 * F.col("first_score") + 0.3 * F.col("second_score")))
+    return scored.select(
+        "id1", "id2", "id3", "y", _is_share("first_score").alias("first_in_range"),
+        _is_share("second_score").alias("second_in_range"), (blend_error < 1e-9).alias("is_blend"))
 
 
 def top_importance(spark, sf):
-    bundle, _ = _bundle(spark, sf, second=None)
-    return ranking.top(
-        models.importances(bundle.model, bundle.features), "importance", 20, "feature"
-    )
+    """Rank and order of the importances; all of them add up to one."""
+    bundle, _ = _bundle(spark, sf, False)
+    every = models.importances(bundle.model, bundle.features)
+    top = ranking.top(every, "importance", 20, "feature")
+    order = Window.orderBy(F.desc("importance"), "feature")  # twenty rows
+    total = every.agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("adds_up"))
+    return top.select(
+        F.row_number().over(order).alias("rank"),
+        F.coalesce(F.col("importance") <= F.lag("importance").over(order), F.lit(True)).alias("falls"),
+    ).crossJoin(F.broadcast(total))
 
 
 def submission(spark, sf):
     bundle, _ = _bundle(spark, sf)
-    return boosted.submission(
+    made = boosted.submission(
         bundle, views.test(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF
     )
+    return made.select("id1", "id2", "id3", "id5", _is_share("pred").alias("in_range"))
 
 
 def _feature_tables(spark, sf):
@@ -364,21 +393,126 @@ def _feature_tables(spark, sf):
 
 
 def rf_scores(spark, sf):
+    """Every row of the template once, with a label of its own score."""
     train, test = _feature_tables(spark, sf)
-    scored = forest.forest_scores(train, test, trees=10, depth=5)
-    template = views.test(spark, sf).select("id2", "id3")
-    return forest.forest_submission(template, scored)
+    scored = written(forest.forest_scores(train, test), "forest-scores")
+    template = views.test(spark, sf).select("id1", "id2", "id3")
+    labels = forest.forest_submission(template, scored)
+    own = scored.select(F.col("id1").cast("string").alias("id1"), F.col("pred").alias("score"))
+    return labels.join(own, "id1").select(
+        F.col("id1").cast("bigint").alias("id1"), "id2", "id3", _is_share("score").alias("in_range"),
+        (F.col("pred") == (F.col("score") > 0.5).cast("int")).alias("is_label"))
 
 
 def ranker_scores(spark, sf):
+    """Scaled scores of every test row; the best of a customer is 1 unless all are equal."""
     train, test = _feature_tables(spark, sf)
-    return rank_plan.rank_submission(train, test, settings=SMALL)
+    ranked = rank_plan.rank_submission(train, test)
+    best = Window.partitionBy("id2")
+    top, low = F.max("pred").over(best), F.min("pred").over(best)
+    return ranked.select(
+        "id1", F.col("id2").cast("bigint").alias("id2"), "id3", _is_share("pred").alias("in_range"),
+        ((low == 0) & ((F.abs(top - 1) < 1e-3) | (top == 0))).alias("is_scaled"))
+
+
+# further checks on whole tables
+
+def join_collisions(spark, sf):
+    """Impressions with an ``f376`` of their own, offers with theirs, and spending."""
+    rows = views.impressions(spark, sf).select("id1", "id2", "id3", F.col("f1").alias("f376"))
+    offers = views.offers(spark, sf).select("id3", "f376", F.col("id9").alias("trans_cnt"))
+    spending = aggregates.transaction_features(views.trans(spark, sf)).select("id2", "trans_cnt")
+    return joins.attach(rows, [
+        joins.Lookup(offers, ["id3"], {"f376": -5.0, "trans_cnt": "none"}, dimension=True),
+        joins.Lookup(spending, ["id2"], {"trans_cnt": 0}),
+    ])
+
+
+def variance_with_nan(spark, sf):
+    nan = F.when(F.col("id1") % 7 == 0, F.lit(float("nan")))
+    df = views.impressions(spark, sf).select(
+        F.coalesce(nan, F.col("f1")).alias("f1"), F.coalesce(nan, F.lit(3.0)).alias("constant"))
+    return selection.variances(df, df.columns).withColumn("variance", F.round("variance", 6))
+
+
+def numeric_rule_types(spark, sf):
+    """Dates, flags, numbers in text and plain text, found by their types alone."""
+    df = views.impressions(spark, sf).select(
+        "id1", "id4", (F.col("f1") > 20).alias("flag"), F.col("f1").cast("string").alias("f1"),
+        F.when(F.col("y") == 1, "clicked").otherwise("not").alias("word"))
+    out = NumericRule().fit(df.drop("id1")).transform(df, skip=["id1"])
+    return out.withColumn("f1", F.round("f1", 6))
+
+
+def infer_date_format(spark, sf):
+    us = F.date_format("id4", "MM/dd/yyyy")
+    text = F.when(F.col("id1") % 5 == 0, F.date_format("id4", "yyyy-MM-dd")).otherwise(us)
+    df = views.impressions(spark, sf).select("id1", text.alias("id5"))
+    formats = infer_format(df, "id5")
+    return df.select("id1", parse(F.col("id5"), formats).alias("parsed"))
+
+
+def template_by_row(spark, sf):
+    scored = views.scored(spark, sf).select("id1", "id2", "id3", F.col("first_score").alias("pred"))
+    made = forest.forest_submission(views.test(spark, sf).select("id1", "id2", "id3"), scored)
+    return made.withColumn("id1", F.col("id1").cast("bigint"))
+
+
+def _stored(spark, df, write):
+    path = f"{shared_folder(spark)}/clickloom/check-{uuid.uuid4().hex}"
+    write(df, path)
+    return path
+
+
+def csv_round_trip(spark, sf):
+    df = views.impressions(spark, sf).select("id1", "id2", "id3", "id4", "f1", "y")
+    return read_csv(spark, _stored(spark, df, write_csv), schema=df.schema)
+
+
+def dictionary_comments(spark, sf):
+    """Part names as a dictionary of descriptions, read back and attached as comments."""
+    rows = views.table(spark, sf, "part").select(
+        F.concat(F.lit("f"), F.col("p_partkey")).alias("masked_column"),
+        F.concat("p_name", F.lit(", \"quoted\"")).alias("Description"), F.lit("Numerical").alias("Type"))
+    return read_dictionary(spark, _stored(spark, rows, write_csv))
+
+
+def bundle_round_trip(spark, sf):
+    """Scores of a saved and loaded bundle against those of the one in memory."""
+    bundle, _ = _bundle(spark, sf)
+    path = _stored(spark, bundle, save_bundle)
+    scored = [boosted.score(b, views.test(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF)
+              for b in (bundle, load_bundle(spark, path))]
+    again = scored[1].select("id1", F.col("pred").alias("again"))
+    return scored[0].join(again, "id1").select("id1", (F.col("pred") == F.col("again")).alias("same"))
+
+
+def strict_timestamp(spark, sf):
+    df = views.impressions(spark, sf).select("id1", F.date_format("id4", "yyyy-MM-dd HH:mm:ss").alias("text"))
+    return df.select("id1", strictly(F.col("text")).alias("parsed"))
+
+
+def target_choice(spark, sf):
+    df = views.impressions(spark, sf)
+    both = df.withColumn("clicked", 1 - F.col("y"))
+    return both.select("id1", F.col(columns.target_column(both)).alias("both"),
+                       F.col(columns.target_column(df)).alias("one"))
+
+
+def sorted_rows(spark, sf):
+    """Rows in the order of their date; each is compared with the one before it in its partition."""
+    rows = splits.sorted_by_date(views.impressions(spark, sf), "id5")
+    return rows.select("id1", F.col("id5").cast("string").alias("id5"))
+
+
+def first_rows(spark, sf):
+    return ranking.top(views.scored(spark, sf).select("id1", "first_score"), "first_score", 3, "id1")
 
 
 @lru_cache(maxsize=1)
 def all_queries() -> dict:
     names = """
-        scan_parquet missing_meta_defaults normalize_keys coerce_numeric parse_timestamp
+        scan_parquet scan_tables missing_meta_defaults normalize_keys coerce_numeric parse_timestamp
         calendar_features offer_active_flag discount_bucket offer_meta_prep feature_projection
         align_features fill_nulls infer_numeric_columns column_all_zero join_offer_meta
         past_impressions rfm_features trans_features ctr_by_offer ctr_by_user ctr_encoding
@@ -386,6 +520,8 @@ def all_queries() -> dict:
         encode_unseen group_fold temporal_split random_split split_summary blend_scores
         hard_labels log_loss prediction_range rank_score dedupe_last template_match match_summary
         submission_ids map_at_5 feature_table training_table gbt_scores ensemble_scores
-        top_importance submission rf_scores ranker_scores
+        top_importance submission rf_scores ranker_scores join_collisions variance_with_nan
+        numeric_rule_types infer_date_format template_by_row csv_round_trip dictionary_comments
+        bundle_round_trip strict_timestamp target_choice sorted_rows first_rows
     """.split()
     return {name: globals()[name] for name in names}

@@ -52,10 +52,15 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers without one type: in joins, some impressions must have no offer."""
+    return offers_all(spark, sf_dir).where(F.col("id10") != "PROMO")
+
+
+def offers_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     def days_after(day: str):
         return F.lit(day).cast("timestamp_ntz") + F.make_dt_interval(F.col("p_size"))
 
-    part = table(spark, sf_dir, "part").where(F.col("p_type") != "PROMO")
+    part = table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").alias("id3"),
         F.col("p_brand").alias("id9"),
@@ -68,7 +73,15 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    """Orders of one status: in joins, some customers must have no transaction."""
+    return _trans(table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F"))
+
+
+def trans_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trans(table(spark, sf_dir, "orders"))
+
+
+def _trans(orders: DataFrame) -> DataFrame:
     amount = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(
         F.col("o_totalprice").cast("string")
     )
@@ -114,7 +127,8 @@ SQL_VIEWS = {
         from events""",
     "train": "select * from impressions where id5 < date '2024-01-24'",
     "test": "select * exclude (y) from impressions where id5 >= date '2024-01-24'",
-    "offers": """
+    "offers": "select * from offers_all where id10 <> 'PROMO'",
+    "offers_all": """
         select p_partkey as id3, p_brand as id9, p_type as id10, p_name as id11,
                cast(timestamp '2024-01-01 00:00:00' + to_days(cast(p_size as integer)) as timestamp)
                    as id12,
@@ -123,13 +137,19 @@ SQL_VIEWS = {
                               as timestamp) end as id13,
                case when p_type = 'ECONOMY' then null
                     else cast((p_size - 1) * 1.5 as double) end as f376
-        from part where p_type <> 'PROMO'""",
+        from part""",
     "trans": """
         select o_custkey as id2,
                case when o_orderpriority = '5-LOW' then 'n/a'
                     else cast(o_totalprice as varchar) end as f367,
                o_orderdate as f370
         from orders where o_orderstatus = 'F'""",
+    "trans_all": """
+        select o_custkey as id2,
+               case when o_orderpriority = '5-LOW' then 'n/a'
+                    else cast(o_totalprice as varchar) end as f367,
+               o_orderdate as f370
+        from orders""",
     "history": """
         select user_id as id2, cast(json_extract_string(props, '$.k') as bigint) as id3
         from events where event_type in ('view', 'click') and ts < timestamp '2024-01-24 00:00:00'""",
@@ -155,6 +175,16 @@ SQL_VIEWS = {
                    as discount_bucket,
                id9, f376, id10, id11
         from offers""",
+    "meta_all": """
+        select id3,
+               cast(case when (id12 is null or id12 <= timestamp '2024-01-24 00:00:00')
+                          and (id13 is null or id13 >= timestamp '2024-01-24 00:00:00')
+                         then 1 else 0 end as integer) as is_currently_active,
+               case when f376 is null then 'unk' when f376 = 0 then 'zero' when f376 < 5 then '<5'
+                    when f376 < 20 then '5-20' when f376 < 50 then '20-50' else '50+' end
+                   as discount_bucket,
+               id9, f376, id10, id11
+        from offers_all""",
     "counts": "select id2, id3, count(*) as past_impression_count from history group by id2, id3",
     "rfm": """
         select id2,
@@ -175,7 +205,7 @@ SQL_VIEWS = {
 # Which views each view is built from.
 SQL_NEEDS = {
     "train": ["impressions"], "test": ["impressions"], "scored": ["impressions"],
-    "meta": ["offers"], "counts": ["history"], "rfm": ["trans"], "spending": ["trans"],
+    "offers": ["offers_all"], "meta": ["offers_all", "offers"], "meta_all": ["offers_all"], "counts": ["history"], "rfm": ["trans"], "spending": ["trans"],
     "offer_rates": ["impressions", "train"], "user_rates": ["impressions", "train"],
 }
 

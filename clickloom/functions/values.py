@@ -76,6 +76,37 @@ def parse_timestamp(col: Column, formats: Iterable[str] = ()) -> Column:
     return F.coalesce(*parsed)
 
 
+# Formats tried where a caller names none. ISO forms come first and need no format.
+DATE_FORMATS = ("MM/dd/yyyy", "dd/MM/yyyy", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy HH:mm:ss",
+                "dd/MM/yyyy HH:mm:ss", "yyyyMMdd", "dd-MMM-yyyy")
+
+
+def date_format_shares(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """One row per candidate format (empty text for ISO): values of the column, and how many parse."""
+    forms = ["", *formats]
+    parsed = [parse_timestamp(F.col(name), [f] if f else []) for f in forms]
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(f).alias("format"), F.col("values"), F.col(f"p{i}").alias("parsed"))
+        for i, f in enumerate(forms)
+    ])
+    counts = [F.count(p).alias(f"p{i}") for i, p in enumerate(parsed)]
+    return df.agg(F.count(name).alias("values"), *counts).select(F.inline(cells))
+
+
+def infer_date_format(
+    df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS
+) -> list[str]:
+    """The format most values of a text column parse with, as the argument of ``parse_timestamp``.
+
+    One aggregate; ties go to the format listed first. An error if there are values and none parse.
+    """
+    rows = date_format_shares(df, name, formats).orderBy(F.desc("parsed"), "place").collect()
+    best = rows[0]  # one row per format
+    if best["values"] and not best["parsed"]:
+        raise ValueError(f"no date in column {name}: none of its values fits ISO or {list(formats)}")
+    return [best["format"]] if best["format"] else []
+
+
 def strict_timestamp(col: Column, fmt: str | None = None) -> Column:
     """Wall-clock time in a text; text that does not parse is an error."""
     return F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else col.cast("timestamp_ntz")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import calendar_parts
+from ..functions.values import no_nan
 
 
 def keep_existing(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -32,6 +33,11 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def date_columns(df: DataFrame) -> list[str]:
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+
+
 def numeric_only(df: DataFrame) -> DataFrame:
     return df.select(*numeric_columns(df))
 
@@ -79,8 +85,10 @@ def all_zero(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per column: rows, values, and whether every value is missing / is zero."""
     stats = [F.count(F.lit(1)).alias("rows")]
     for c in names:
-        zero = F.coalesce(F.col(c).cast("string").try_cast("double") == 0, F.lit(False))
-        stats += [F.count(c).alias(f"n_{c}"), F.bool_and(zero).alias(f"z_{c}")]
+        floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        value = no_nan(F.col(c)) if floating else F.col(c)
+        zero = F.coalesce(value.cast("string").try_cast("double") == 0, F.lit(False))
+        stats += [F.count(value).alias(f"n_{c}"), F.bool_and(zero).alias(f"z_{c}")]
     entries = F.array(*[
         F.struct(
             F.lit(c).alias("column"),

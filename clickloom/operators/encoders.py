@@ -95,12 +95,13 @@ class LabelEncoderModel:
         texts = [_class_text(c, self.filler).alias(c) for c in names]
         pack = len(rest) > WIDE
         df = df.select(*([F.struct(*rest).alias(_REST)] if pack else rest), *texts)
-        large = []
-        for c in names:
+        large, room = [], limit
+        for c in sorted(names, key=lambda c: self.sizes.get(c, 0)):
             classes = self.table.where(F.col("column") == c).select(
                 F.col("value").alias(c), F.col("code").alias(f"_code_{c}")
             )
-            if self.sizes.get(c, 0) <= limit:
+            if self.sizes.get(c, 0) <= room:  # what is broadcast adds up to the limit at most
+                room -= self.sizes.get(c, 0)
                 df = df.join(F.broadcast(classes), c, "left")
             else:
                 large.append(Lookup(classes, [c]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
 
@@ -16,8 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 100_000
+ROW_ID = "id1"  # tells the rows of a hot key apart; no other column is read for that
 
 _SALT, _SALTS, _ROWS = "_salt", "_salts", "_rows"
 
@@ -60,21 +63,6 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def join_dimension(
-    fact: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    null_safe: bool = False,
-    limit: int = BROADCAST_BYTES,
-    suffixes: tuple = ("_x", "_y"),
-) -> DataFrame:
-    """Left join to a table expected to be small: broadcast if measured so, else spread."""
-    if measured_bytes(dimension) > limit:
-        return spread_join(fact, dimension, keys, null_safe, suffixes=suffixes)
-    fact, dimension = rename_collisions(fact, dimension, keys, suffixes)
-    return _left(fact, F.broadcast(dimension), keys, null_safe)
-
-
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
 
@@ -112,7 +100,7 @@ def spread_join(
 
     The fact's rows are counted first, and if there are many, those of each key (a scan of the key
     columns). Without hot keys this is a plain join. Else rows of a hot key are split by a hash of
-    the row, and the lookup's rows of that key are repeated once per split.
+    the row id and its input partition, and the lookup's rows of that key are repeated once per split.
     """
     hot = hot_keys(key_counts(fact, keys), fact.count(), hot_rows)
     return _spread(fact, lookup, list(keys), null_safe, hot, suffixes)
@@ -126,7 +114,8 @@ def _spread(
     if hot is None:
         return _left(fact, lookup, keys, null_safe)
     hot = F.broadcast(hot)
-    split = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col(_SALTS)).cast("int")
+    row = F.col(ROW_ID) if ROW_ID in fact.columns else F.monotonically_increasing_id()
+    split = F.pmod(F.xxhash64(F.spark_partition_id(), row), F.col(_SALTS)).cast("int")
     salt = F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(split)
     fact = _left(fact, hot, keys, True).withColumn(_SALT, salt).drop(_SALTS)
     copies = F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)
@@ -145,6 +134,29 @@ class Lookup:
     dimension: bool = False
 
 
+def final_names(
+    fact: DataFrame, lookups: Sequence[Lookup], suffixes: tuple = ("_x", "_y")
+) -> tuple[dict[str, str], list[dict[str, str]]]:
+    """What each column is called in the end: of the fact, and of each lookup.
+
+    As if the lookups were merged one after the other, from left to right: a name that both sides
+    have gets a suffix on either side. Depends on the schemas only.
+    """
+    owners: list[dict[str, str]] = [{c: c for c in fact.columns}]
+    for lookup in lookups:
+        mine = {c: c for c in lookup.table.columns if c not in lookup.keys}
+        taken = {now for names in owners for now in names.values()}
+        shared = {c for c in mine if c in taken}
+        for names in owners:
+            names.update({c: now + suffixes[0] for c, now in names.items() if now in shared})
+        mine.update({c: c + suffixes[1] for c in shared})
+        owners.append(mine)
+    every = [now for names in owners for now in names.values()]
+    if len(set(every)) < len(every):
+        raise ValueError(f"names still collide: {sorted({n for n in every if every.count(n) > 1})}")
+    return owners[0], owners[1:]
+
+
 def attach(
     fact: DataFrame,
     lookups: Sequence[Lookup],
@@ -153,35 +165,57 @@ def attach(
 ) -> DataFrame:
     """Left join several lookups while moving the wide fact rows through one shuffle at most.
 
-    Small dimensions are broadcast. The rest is joined to the table of distinct fact keys, which
-    is a few columns wide and free of repeats, and that table is joined to the fact once.
+    Names and fills are settled first, so they never depend on how a lookup is joined. Dimensions
+    are broadcast, smallest first, while their sizes add up to ``limit`` at most. The rest is joined
+    to the table of distinct fact keys, which is a few columns wide and free of repeats, and that
+    table is joined to the fact once.
     """
-    plain, large = fact, []
-    for lookup in lookups:
-        if lookup.dimension and measured_bytes(lookup.table) <= limit:
-            fact, table = rename_collisions(fact, lookup.table, lookup.keys)
-            fact = _filled(_left(fact, F.broadcast(table), lookup.keys, lookup.null_safe), lookup)
+    own, theirs = final_names(fact, lookups)
+    renamed = {own[k] for lookup in lookups for k in lookup.keys if own[k] != k}
+    if renamed:
+        raise ValueError(f"a lookup brings a column named like a key: {sorted(renamed)}")
+    order = [*own.values(), *[n for names in theirs for n in names.values()]]
+    fact = fact.withColumnsRenamed(own)
+    lookups = [
+        replace(one, table=one.table.withColumnsRenamed(names),
+                fill={names[c]: v for c, v in one.fill.items() if c in names})
+        for one, names in zip(lookups, theirs)
+    ]
+    plain, large, room = fact, [], limit
+    sizes = {i: measured_bytes(one.table) for i, one in enumerate(lookups) if one.dimension}
+    for i in sorted(sizes, key=sizes.get):
+        if sizes[i] <= room:
+            room -= sizes[i]
+            one = lookups[i]
+            fact = _filled(_left(fact, F.broadcast(one.table), one.keys, one.null_safe), one)
         else:
-            large.append(lookup)
+            large.append(i)
+    large = [lookups[i] for i in sorted({*large, *(set(range(len(lookups))) - set(sizes))})]
     if not large:
-        return fact
-    keys = list(dict.fromkeys(k for lookup in large for k in lookup.keys))
+        return fact.select(*order)
+    keys = list(dict.fromkeys(k for one in large for k in one.keys))
     rows, counts = plain.count(), key_counts(plain, keys)
+    if _may_be_hot(plain, rows, hot_rows):
+        counts = written(counts, "key-counts")  # read for hot keys, their partners and the join
     hot = hot_keys(counts, rows, hot_rows)
     if len(large) == 1:
         (one,) = large
-        return _filled(_spread(fact, one.table, keys, one.null_safe, hot), one)
+        return _filled(_spread(fact, one.table, keys, one.null_safe, hot), one).select(*order)
     table = counts.drop(_ROWS)
-    for lookup in large:
+    for one in large:
         # at most one row per distinct key tuple here: hot only where one key has many partners
         partners = None
-        if set(lookup.keys) != set(keys):
-            partners = hot_keys(key_counts(counts, lookup.keys), rows, hot_rows)
-        table = _spread(table, lookup.table, list(lookup.keys), lookup.null_safe, partners)
-        table = _filled(table, lookup)
-    return _spread(fact, table, keys, True, hot)
+        if set(one.keys) != set(keys):
+            partners = hot_keys(key_counts(counts, one.keys), rows, hot_rows)
+        table = _spread(table, one.table, list(one.keys), one.null_safe, partners)
+        table = _filled(table, one)
+    return _spread(fact, table, keys, True, hot).select(*order)
+
+
+def _may_be_hot(df: DataFrame, rows: int, hot_rows: int) -> bool:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows > max(rows / parts, hot_rows)
 
 
 def _filled(df: DataFrame, lookup: Lookup) -> DataFrame:
-    fill = {c: v for c, v in lookup.fill.items() if c in df.columns}
-    return df.fillna(fill) if fill else df
+    return df.fillna(dict(lookup.fill)) if lookup.fill else df

@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import number, text_to_number
-from .columns import expand_dates, numeric_columns, text_columns
+from .columns import date_columns, expand_dates, numeric_columns, text_columns
 from .encoders import LabelEncoder, LabelEncoderModel
 
 CHUNK = 100  # columns per aggregate, to stay inside generated code
@@ -42,13 +43,15 @@ def number_shares(df: DataFrame, names: Sequence[str]) -> DataFrame:
 class NumericRule:
     """Text columns that are mostly numbers become numbers, the others are label encoded.
 
-    ``dates`` are replaced by their calendar parts first.
+    Before that, the columns named in ``dates`` and all columns of a date or timestamp type are
+    replaced by their calendar parts, and booleans by 0 and 1.
     """
 
     dates: Sequence[str] = ()
 
     def fit(self, df: DataFrame) -> "NumericRuleModel":
-        df = expand_dates(df, self.dates)
+        dates = [c for c in df.columns if c in self.dates or c in date_columns(df)]
+        df = expand_dates(df, dates)
         names = text_columns(df)
         # one row per text column, however large the table
         stats = number_shares(df, names).collect() if names else []
@@ -56,7 +59,7 @@ class NumericRule:
         empty = [r["column"] for r in stats if r["values"] == 0]
         encoded = [c for c in names if c not in numeric and c not in empty]
         encoder = LabelEncoder(encoded).fit(df) if encoded else None
-        return NumericRuleModel(list(self.dates), numeric, encoded, empty, encoder)
+        return NumericRuleModel(dates, numeric, encoded, empty, encoder)
 
 
 @dataclass
@@ -70,6 +73,9 @@ class NumericRuleModel:
     def transform(self, df: DataFrame, unseen: str = "first", skip: Sequence[str] = ()) -> DataFrame:
         """Numbers only: missing codes are -1, any other missing value 0; ``skip`` stays as is."""
         df = expand_dates(df, [c for c in self.dates if c in df.columns])
+        flags = [f.name for f in df.schema.fields
+                 if isinstance(f.dataType, T.BooleanType) and f.name not in skip]
+        df = df.withColumns({c: F.col(c).cast("int") for c in flags}) if flags else df
         change = {c: number(df, c) for c in self.numeric if c in df.columns}
         change |= {c: F.lit(-1).cast("bigint") for c in self.empty if c in df.columns}
         df = df.withColumns(change) if change else df

@@ -8,13 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import no_nan
 from .numeric_rule import CHUNK
 
 
 def variances(df: DataFrame, names: Sequence[str], threshold: float = 1e-5) -> DataFrame:
     """One row per column: population variance, and whether it is above ``threshold``.
 
-    Each chunk of columns is an aggregate of its own, which reads its columns only.
+    NaN counts as missing. Each chunk of columns is an aggregate of its own, which reads its columns
+    only.
     """
     result = None
     for i in range(0, len(names), CHUNK):
@@ -22,7 +24,9 @@ def variances(df: DataFrame, names: Sequence[str], threshold: float = 1e-5) -> D
         cells = F.array(*[
             F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("variance")) for c in part
         ])
-        rows = df.agg(*[F.var_pop(c).alias(c) for c in part]).select(F.inline(cells))
+        rows = df.agg(*[
+            F.var_pop(no_nan(F.col(c).cast("double"))).alias(c) for c in part
+        ]).select(F.inline(cells))
         result = rows if result is None else result.unionAll(rows)
     return result.withColumn("kept", F.coalesce(F.col("variance") > threshold, F.lit(False)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,14 +65,14 @@ def format_submission(
 
 def match_template(
     template: DataFrame, predictions: DataFrame, order: str, default: float = 0.0,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, keys: Sequence[str] = ("id2", "id3"),
 ) -> DataFrame:
-    """Every template row with the last prediction of its (id2, id3), else ``default``.
+    """Every template row with the last prediction of its ``keys``, else ``default``.
 
     A prediction that is missing for a key that is there stays missing and counts as matched.
     """
-    keys = ["id2", "id3"]
-    as_long = {k: F.col(k).cast("bigint") for k in keys}
+    keys = list(keys)
+    as_long = {k: F.col(k).cast("string" if k == "id1" else "bigint") for k in keys}
     last = last_per_key(predictions.withColumns(as_long), keys, order, ["pred"]).select(
         *keys, F.col("pred").cast("double").alias("pred"), F.lit(True).alias("matched")
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import number, parse_timestamp, wall_clock
+from ..functions.values import infer_date_format, number, parse_timestamp, wall_clock
 from ..operators.columns import align, target_column, text_columns
 from ..operators.encoders import LabelEncoder
 from ..operators.metrics import log_losses
@@ -16,7 +16,7 @@ from ..operators.numeric_rule import NumericRuleModel
 from ..operators.splits import in_sample
 from ..operators.submission import format_submission, usable
 from ..sources.bundle import Bundle
-from .models import HELD_OUT, LABEL, SEED, Boosting, assembled, fit_pair, score_pair
+from .models import HELD_OUT, LABEL, SECOND_BOOSTER, SEED, Boosting, assembled, fit_pair, score_pair
 from .training import (
     AS_OF, ID_COLUMNS, SPLIT_DATE, build_training_table, feature_columns, with_offer_meta, with_transactions,
 )
@@ -35,12 +35,12 @@ def train(
     dates: Sequence[str] = (),
     date_formats: Sequence[str] = (),
     first: Boosting = Boosting(),
-    second: Boosting | None = Boosting(seed=SEED + 1),
+    second: Boosting | None = SECOND_BOOSTER,
 ) -> tuple[Bundle, DataFrame]:
     """The fitted bundle and the scored validation rows.
 
-    Validation is from ``split`` on by id5, parsed by ``date_formats`` if it is text; without id5
-    it is a fifth of the rows by hash of id1.
+    Validation is from ``split`` on by id5; text is parsed by ``date_formats``, or by the format
+    that most of its values have. Without id5 it is a fifth of the rows by hash of id1.
     """
     target = target_column(impressions)
     table, rule = build_training_table(
@@ -49,7 +49,8 @@ def train(
     features = feature_columns(table, target)
     if "id5" in table.columns:
         if "id5" in text_columns(table):
-            table = table.withColumn("id5", parse_timestamp(F.col("id5"), date_formats))
+            formats = date_formats or infer_date_format(impressions, "id5")
+            table = table.withColumn("id5", parse_timestamp(F.col("id5"), formats))
         held_out = F.col("id5") >= wall_clock(split)
         table = table.where(held_out.isNotNull())  # a row without a date is in neither part
     else:

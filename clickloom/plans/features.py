@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.values import key_long, key_text
 from ..operators.aggregates import click_rate, impression_counts, rfm
 from ..operators.joins import HOT_ROWS, Lookup, attach
+from ..session import written
 
 # What an impression without history or transactions gets.
 COUNT_FILL = {"past_impression_count": 0}
@@ -46,15 +47,21 @@ def build_features(
     )
 
 
+def click_rates(train: DataFrame, label: str = "y") -> tuple[DataFrame, DataFrame]:
+    """Click rate per offer and per customer, written once for use on several tables."""
+    return (written(click_rate(train, "id3", label, "ctr_offer"), "offer-rates"),
+            written(click_rate(train, "id2", label, "ctr_user"), "customer-rates"))
+
+
 def with_click_rates(
-    df: DataFrame, train: DataFrame, label: str = "y", hot_rows: int = HOT_ROWS
+    df: DataFrame, train: DataFrame, label: str = "y", hot_rows: int = HOT_ROWS,
+    rates: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Click rate of the offer and of the customer over ``train``; missing where it has neither."""
+    """Click rate of the offer and of the customer over ``train``; missing where it has neither.
+
+    ``rates`` are those of ``click_rates``, if they are at hand.
+    """
+    by_offer, by_customer = rates or (
+        click_rate(train, "id3", label, "ctr_offer"), click_rate(train, "id2", label, "ctr_user"))
     return attach(
-        df,
-        [
-            Lookup(click_rate(train, "id3", label, "ctr_offer"), ["id3"]),
-            Lookup(click_rate(train, "id2", label, "ctr_user"), ["id2"]),
-        ],
-        hot_rows=hot_rows,
-    )
+        df, [Lookup(by_offer, ["id3"]), Lookup(by_customer, ["id2"])], hot_rows=hot_rows)

@@ -14,8 +14,8 @@ from ..sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from .boosted import submission, train, validation_losses
 from .features import build_features
 from .forest import forest_scores, forest_submission
-from .models import SEED, Boosting
-from .ranking import rank_submission
+from .models import SECOND_BOOSTER, Boosting
+from .ranking import PATIENCE, ROUNDS, rank_submission
 from .training import AS_OF, SPLIT_DATE
 
 
@@ -46,7 +46,7 @@ def train_files(
     spark: SparkSession, train_path: str, offers_path: str | None, trans_path: str | None,
     bundle_path: str, as_of: datetime = AS_OF, split: datetime = SPLIT_DATE,
     dates: Sequence[str] = (), date_formats: Sequence[str] = (),
-    first: Boosting = Boosting(), second: Boosting | None = Boosting(seed=SEED + 1),
+    first: Boosting = Boosting(), second: Boosting | None = SECOND_BOOSTER,
 ) -> DataFrame:
     """Fit and save the boosted pair; the validation losses."""
     rows = read_table(spark, train_path)
@@ -84,7 +84,7 @@ def template_files(
 
 def rank_files(
     spark: SparkSession, train_path: str, test_path: str, out: str,
-    settings: Boosting = Boosting(rounds=50), mode: str = "error",
+    settings: Boosting = Boosting(rounds=ROUNDS, patience=PATIENCE), mode: str = "error",
 ) -> None:
     """Ranking submission from stored feature tables."""
     result = rank_submission(

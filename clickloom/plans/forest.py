@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import hard_label
 from ..operators.columns import align, drop_columns, numeric_columns
 from ..operators.submission import match_template
-from .features import with_click_rates
+from .features import click_rates, with_click_rates
 from .models import assembled, fit_forest, score_forest
 
 # Columns that are no features.
@@ -22,7 +22,8 @@ def forest_scores(
 
     A click rate that is unknown reads as the overall rate, any other missing number as 0.
     """
-    rated = with_click_rates(train, train, label)
+    rates_of = click_rates(train, label)  # used for both tables, aggregated once
+    rated = with_click_rates(train, train, label, rates=rates_of)
     features = numeric_columns(drop_columns(rated, [*NO_FEATURES, label]))
     overall = train.agg(F.avg(label)).first()[0]
     rates = {"ctr_offer": overall, "ctr_user": overall}
@@ -30,12 +31,20 @@ def forest_scores(
     model = fit_forest(assembled(rated, features, label), features, trees, depth)
     keep = [c for c in ("id1", "id2", "id3") if c in test.columns]
     unlabelled = align(
-        with_click_rates(test, train, label).fillna(rates), features, keep=keep
+        with_click_rates(test, train, label, rates=rates_of).fillna(rates), features, keep=keep
     ).fillna(0, subset=features)
     return score_forest(model, unlabelled).select(*keep, "pred")
 
 
 def forest_submission(template: DataFrame, scored: DataFrame, order: str = "id1") -> DataFrame:
-    """0/1 labels on the template's rows, matched by key."""
-    matched = match_template(template, scored, order)
+    """0/1 labels on the template's rows.
+
+    A template with row ids gets each row's own score. Without them rows are matched by customer
+    and offer; where a pair has several scores, the last in the order of a column that is numeric
+    or a position (not of text, in which ``r9`` comes after ``r10``) counts.
+    """
+    by_row = "id1" in template.columns and "id1" in scored.columns
+    keys = ("id1",) if by_row else ("id2", "id3")
+    own = scored.select(*keys, "pred", F.col(order).alias("_order"))
+    matched = match_template(template, own, "_order", keys=keys)
     return matched.withColumn("pred", hard_label(F.col("pred"))).drop("matched")

@@ -14,36 +14,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import blend
-from ..session import written
+from ..session import shared_folder, written
 
 SEED = 42
 FEATURES, LABEL, HELD_OUT = "features", "label", "_held_out"
+FIRST_LOOK = 28  # rounds beyond the patience in the first fit
 FIRST, SECOND, FOREST, RANKER = "first", "second", "forest", "ranker"
 
 
 @dataclass(frozen=True)
 class Boosting:
-    """Settings of one booster. ``rounds`` is a budget: training stops when validation worsens."""
+    """Settings of one booster.
 
-    rounds: int = 100
+    ``rounds`` is a budget: training ends once the held-out loss has not improved for ``patience``
+    rounds, and the best round is kept.
+    """
+
+    rounds: int = 1000
+    patience: int = 100
     rate: float = 0.05
     depth: int = 6
     feature_share: float = 0.8
     row_share: float = 0.8
-    bins: int = 32
+    bins: int = 64
     seed: int = SEED
-    tolerance: float = 0.0
 
-    def params(self) -> dict:
+    def params(self, rounds: int) -> dict:
         return {
-            "maxIter": self.rounds,
+            "maxIter": rounds,
             "stepSize": self.rate,
             "maxDepth": self.depth,
             "featureSubsetStrategy": str(self.feature_share),
             "subsamplingRate": self.row_share,
             "maxBins": self.bins,
             "seed": self.seed,
-            "validationTol": self.tolerance,
         }
 
 
@@ -70,6 +74,45 @@ def assembled(
     )
 
 
+# The second booster differs in what it sees: all features at each split, and finer bins.
+SECOND_BOOSTER = Boosting(seed=SEED + 1, feature_share=1.0, bins=256)
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) kept when training waits ``patience`` rounds for a better one, and
+    whether the wait is over within ``losses``."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _fit_patiently(make, rows: DataFrame, settings: Boosting, losses_of):
+    """Fit with the number of rounds that held-out rows prefer; with all rounds if there are none.
+
+    Spark's own stop ends at the first worse round. Here a fit of limited length is judged round by
+    round, and made longer while the wait is not over. The first rounds of a longer or shorter fit
+    are the same trees, as seed and rows are.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # boosting cuts its lineage every few rounds
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    train, held = rows.where(~F.col(HELD_OUT)), rows.where(F.col(HELD_OUT))
+    if held.isEmpty():
+        return make(**settings.params(settings.rounds)).fit(train)
+    length = min(settings.rounds, settings.patience + FIRST_LOOK)
+    while True:
+        model = make(**settings.params(length)).fit(train)
+        best, over = best_round(losses_of(model, held), settings.patience)
+        if over or length == settings.rounds:
+            break
+        length = min(2 * length, settings.rounds)
+    return model if best == length else make(**settings.params(best)).fit(train)
+
+
 def _named(classifier, model: str):
     """Output columns of its own for each model, so that several can score the same rows."""
     return (
@@ -83,22 +126,19 @@ def fit_pair(
     rows: DataFrame,
     features: Sequence[str],
     first: Boosting = Boosting(),
-    second: Boosting | None = Boosting(seed=SEED + 1),
+    second: Boosting | None = SECOND_BOOSTER,
 ) -> PipelineModel:
     """Two boosted classifiers on the same assembled rows (or one), as one model with two scores.
 
-    Held-out rows, if there are any, are not learnt from but stop the training.
+    Held-out rows, if there are any, are not learnt from but choose the number of rounds.
     """
-    stop_early = not rows.where(F.col(HELD_OUT)).isEmpty()
     stages = [assembler(features)]
     for name, settings in ((FIRST, first), (SECOND, second)):
         if settings is not None:
-            booster = _named(
-                GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, **settings.params()), name
-            )
-            if stop_early:
-                booster.setValidationIndicatorCol(HELD_OUT)
-            stages.append(booster.fit(rows))
+            stages.append(_fit_patiently(
+                lambda name=name, **params: _named(
+                    GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, **params), name),
+                rows, settings, lambda model, held: model.evaluateEachIteration(held)))
     return PipelineModel(stages)
 
 
@@ -118,12 +158,11 @@ def fit_ranker(
     rows: DataFrame, features: Sequence[str], settings: Boosting = Boosting()
 ) -> PipelineModel:
     """Pointwise ranker: boosted regression on the label, to be ordered within the customer."""
-    booster = GBTRegressor(
-        featuresCol=FEATURES, labelCol=LABEL, predictionCol=RANKER, **settings.params()
-    )
-    if not rows.where(F.col(HELD_OUT)).isEmpty():
-        booster.setValidationIndicatorCol(HELD_OUT)
-    return PipelineModel([assembler(features), booster.fit(rows)])
+    model = _fit_patiently(
+        lambda **params: GBTRegressor(
+            featuresCol=FEATURES, labelCol=LABEL, predictionCol=RANKER, **params),
+        rows, settings, lambda model, held: model.evaluateEachIteration(held, "squared"))
+    return PipelineModel([assembler(features), model])
 
 
 def probability(model: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import fold_of
 from ..functions.values import filled_text
-from ..operators.columns import align, drop_columns, numeric_columns, text_columns
+from ..operators.columns import align, date_columns, drop_columns, numeric_columns, text_columns
 from ..operators.encoders import LabelEncoder
 from ..operators.joins import HOT_ROWS
 from ..operators.ranking import with_rank_score
@@ -20,7 +20,7 @@ ID_PREFIX = "id"
 ID_COLUMNS = ("id1", "id2", "id3", "id5")
 NULL_CLASS = "nan"
 FOLDS = 5
-ROUNDS = 50
+ROUNDS, PATIENCE = 500, 40
 
 
 def encode_jointly(
@@ -37,11 +37,15 @@ def rank_submission(
     train: DataFrame,
     test: DataFrame,
     label: str = "y",
-    settings: Boosting = Boosting(rounds=ROUNDS),
+    settings: Boosting = Boosting(rounds=ROUNDS, patience=PATIENCE),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """id1, id2, id3, id5 of the test rows and the score scaled within the customer."""
     features = drop_columns(train, [label], prefix=ID_PREFIX).columns
+    # dates stored as such count as their text, as they do when they come from CSV
+    dates = [c for c in date_columns(train) if c in features]
+    train, test = (df.withColumns({c: F.col(c).cast("string") for c in dates if c in df.columns})
+                   if dates else df for df in (train, test))
     texts = [c for c in text_columns(train) if c in features]
     train, test = encode_jointly(train, test, texts)
     numeric = [c for c in features if c in numeric_columns(train)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import NULL_WORDS, blank_words, text_to_number
+from ..functions.values import NULL_WORDS, blank_words, no_nan, text_to_number
 from ..operators.numeric_rule import CHUNK
 from .schemas import DICTIONARY
 
@@ -20,9 +20,14 @@ FALSE_WORDS = ("False", "FALSE", "false")
 def read_parquet(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """Parquet scan; a declared schema spares the footer reads and fixes the columns."""
+    """Parquet scan; a declared schema spares the footer reads and fixes the columns.
+
+    NaN counts as missing everywhere in the library, so it becomes null here.
+    """
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(*([path] if isinstance(path, str) else path))
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: no_nan(F.col(f"`{c}`")) for c in floating}) if floating else df
 
 
 def read_csv(
@@ -101,8 +106,10 @@ def infer_types(raw: DataFrame) -> T.StructType:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """A folder of CSV files, each with a header."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """A folder of CSV files, each with a header. Times keep their microseconds."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+    writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX").csv(path)
 
 
 def write_parquet(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import joins
-from clickloom.operators.joins import Lookup, attach, hot_keys, join_dimension, key_counts, spread_join
+from clickloom.operators.joins import Lookup, attach, hot_keys, key_counts, spread_join
 
 
 def rows(df):
@@ -93,7 +93,9 @@ def test_hot_rows_are_split_over_partitions(spark, fact):
 def test_dimension_is_broadcast_only_when_small(spark, fact, limit):
     right = [{"id3": k, "name": f"offer {k}"} for k in range(15)]
     dim = spark.createDataFrame(right, "id3 bigint, name string")
-    got = join_dimension(fact[1], dim, ["id3"], limit=limit)
+    got = attach(fact[1], [Lookup(dim, ["id3"], dimension=True)], limit=limit)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("broadcast" in plan) == (limit > 0)
     assert rows(got) == brute_left(fact[0], right, ["id3"], ["id1", "id2", "id3", "name"])
 
 
@@ -147,7 +149,6 @@ def test_collisions_get_suffixes(spark):
     left = spark.createDataFrame([(1, 2.0)], "id3 bigint, f376 double")
     right = spark.createDataFrame([(1, 3.0)], "id3 bigint, f376 double")
     for got in (
-        join_dimension(left, right, ["id3"]),
         spread_join(left, right, ["id3"]),
         attach(left, [Lookup(right, ["id3"], dimension=True)]),
         attach(left, [Lookup(right, ["id3"])]),
@@ -175,3 +176,33 @@ def test_wide_rows_move_once(spark, fact):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10**9])
+@pytest.mark.parametrize("lookups", [1, 3])
+def test_names_and_fills_do_not_depend_on_size(spark, hot_rows, lookups):
+    """A column ``a`` on every side: same names, same order, same values, however it is joined."""
+    fact = spark.createDataFrame([(i, i % 3, i % 2, float(i)) for i in range(40)],
+                                 "id1 bigint, id2 bigint, id3 bigint, a double")
+    tables = [
+        Lookup(spark.createDataFrame([(0, 10.0)], "id3 bigint, a double"), ["id3"], {"a": -5.0}, dimension=True),
+        Lookup(spark.createDataFrame([(1, 20.0), (2, 30.0)], "id2 bigint, a double"), ["id2"], {"a": -6.0}),
+        Lookup(spark.createDataFrame([(0, "x")], "id2 bigint, b string"), ["id2"], {"b": "none"}, dimension=True),
+    ][:lookups]
+    results = [attach(fact, tables, limit=limit, hot_rows=hot_rows) for limit in (0, 60, 1 << 20)]
+    names = {1: ["id1", "id2", "id3", "a_x", "a_y"], 3: ["id1", "id2", "id3", "a_x", "a_y", "a", "b"]}[lookups]
+    for got in results:
+        assert got.columns == names
+        assert rows(got) == rows(results[0])
+    assert results[0].where("a_y is null").isEmpty()
+
+
+def test_hot_join_reads_only_what_is_asked(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(600).select(F.col("id").alias("id1"), (F.col("id") % 3).alias("id2"),
+                            *[F.lit(i).alias(f"f{i}") for i in range(20)]).write.parquet(path)
+    users = spark.range(3).select(F.col("id").alias("id2"), F.lit(1.0).alias("m"))
+    got = attach(spark.read.parquet(path), [Lookup(users, ["id2"])], hot_rows=10).select("id2", "m")
+    plan = got._jdf.queryExecution().optimizedPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+    assert "f7" not in plan.split("== Physical")[-1].split("ReadSchema:")[1].split(">")[0]
+    assert got.count() == 600

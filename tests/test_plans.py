@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from checks.compare import connect, differences
-from clickloom.operators import metrics
+from checks.oracle import ORACLE
+from checks.queries import all_queries
+from clickloom.functions import values
+from clickloom.operators import columns, metrics, numeric_rule, selection
 from clickloom.plans import boosted, features, forest, models, ranking, training
 from clickloom.plans.models import Boosting
 from clickloom.sources.bundle import load_bundle, save_bundle
@@ -195,10 +198,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_registry():
-    queries, oracle = registry.queries(), registry.oracle_sql()
-    assert set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) == {
-        "gbt_scores", "ensemble_scores", "top_importance", "submission", "rf_scores", "ranker_scores"}
+    assert set(registry.oracle_sql()) <= set(registry.queries())
+    assert set(all_queries()) == set(ORACLE)  # every query of the library has its SQL
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -232,3 +233,51 @@ def test_no_cross_join_and_no_python(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "Python" not in plan and "Arrow" not in plan
         assert "Exchange SinglePartition" not in plan
+
+
+def test_training_waits_beyond_a_local_bump():
+    losses = [0.9, 0.8, 0.85, 0.84, 0.7, 0.75, 0.76, 0.77, 0.6]
+    assert models.best_round(losses, 3) == (5, True)
+    assert models.best_round(losses, 1) == (2, True)
+    assert models.best_round(losses, 10) == (9, False)
+
+
+def test_noisy_training_keeps_more_than_one_tree(spark):
+    """Spark's own stop ends at the first worse round; waiting finds the signal behind the noise."""
+    rows = spark.range(1500).select(
+        F.col("id").alias("id1"), F.rand(3).alias("f1"), F.rand(4).alias("f2"))
+    label = ((F.col("f1") + F.rand(5) * 0.8) > 0.9).cast("int")
+    table = models.assembled(rows.withColumn("y", label), ["f1", "f2"], "y", F.col("id1") % 3 == 0)
+    fitted = models.fit_pair(table, ["f1", "f2"], models.Boosting(rounds=30, patience=10, depth=2, rate=0.2), None)
+    assert fitted.stages[1].getNumTrees > 3
+
+
+def test_rule_finds_dates_and_flags_by_type(spark):
+    df = spark.sql("""select timestamp_ntz '2023-11-04 05:00:00' as id4, date '2023-11-05' as f374,
+                      true as flag, cast(null as boolean) as other, 'a' as word, '1.5' as n""")
+    rule = numeric_rule.NumericRule().fit(df)
+    got = rule.transform(df)
+    assert all(t in ("int", "bigint", "double") for _, t in got.dtypes), got.dtypes
+    row = got.first()
+    assert (row["flag"], row["other"], row["id4_hour"], row["f374_is_weekend"]) == (1, 0, 5, 1)
+
+
+def test_date_format_is_learnt_or_refused(spark):
+    df = spark.createDataFrame([("11/05/2023", "soon"), ("13/05/2023", "later"), ("12/31/2023", None)], "a string, b string")
+    assert values.infer_date_format(df, "a") == ["MM/dd/yyyy"]
+    with pytest.raises(ValueError, match="no date in column b"):
+        values.infer_date_format(df, "b")
+    assert values.infer_date_format(df.limit(0), "b") == []
+
+
+def test_forest_template_rows_get_their_own_score(spark):
+    scored = spark.createDataFrame([("r9", 1, 2, 0.9), ("r10", 1, 2, 0.1)], "id1 string, id2 bigint, id3 bigint, pred double")
+    got = forest.forest_submission(scored.drop("pred"), scored)
+    assert {r["id1"]: r["pred"] for r in got.collect()} == {"r9": 1, "r10": 0}
+
+
+def test_constant_column_with_nan_is_dropped(spark):
+    df = spark.createDataFrame([(3.0,), (float("nan"),), (3.0,)], "f double")
+    assert selection.VarianceFilter().fit(df, ["f"]).kept == []
+    zero = spark.createDataFrame([(0.0,), (float("nan"),)], "f double")
+    assert columns.all_zero(zero, ["f"]).first()["values"] == 1

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 from clickloom.operators.numeric_rule import NumericRule
 from clickloom.plans.models import assembler
-from clickloom.session import shared_folder, written
+from clickloom.session import discard, shared_folder, written
 from clickloom.sources import schemas, tables
-from clickloom.sources.bundle import Bundle, load_bundle, save_bundle
+from clickloom.sources.bundle import Bundle, drop_old_versions, load_bundle, save_bundle
 
 
 def put(path, text):
@@ -101,13 +101,12 @@ def test_csv_line_breaks_in_quotes(spark, tmp_path):
 class Session:
     """Only what the choice of the folder looks at."""
 
-    def __init__(self, folder, master):
-        self.conf, self.sparkContext, self.master = self, self, master
+    def __init__(self, folder, master, warehouse="file:/here/warehouse"):
+        self.conf, self.sparkContext, self.master, self.warehouse = self, self, master, warehouse
         self.folder = folder
 
-    def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.folder
+    def get(self, key, default=None):
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": self.warehouse}[key]
 
     def getCheckpointDir(self):
         return None
@@ -117,7 +116,27 @@ def test_shared_folder_is_the_clusters():
     assert shared_folder(Session("s3a://bucket/x/", "yarn")) == "s3a://bucket/x"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session(None, "yarn"))
-    assert shared_folder(Session(None, "local[2]")) == shared_folder(Session(None, "local[2]"))
+    assert shared_folder(Session(None, "local[2]")) == "file:/here/warehouse/_scratch"
+    assert shared_folder(Session(None, "yarn", "hdfs://h/w")) == "hdfs://h/w/_scratch"
+
+
+def test_discarded_table_is_gone(spark):
+    kept = written(spark.range(5), "x")
+    discard(kept)
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_FOUND|No such file"):
+        kept.count()
+
+
+def test_nan_is_missing_on_entry(spark, tmp_path):
+    spark.createDataFrame([(1.0,), (float("nan"),)], "f double").write.parquet(str(tmp_path / "n"))
+    got = tables.read_parquet(spark, str(tmp_path / "n"))
+    assert sorted(str(r["f"]) for r in got.collect()) == ["1.0", "None"]
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    df = spark.sql("select timestamp_ntz '2024-01-02 03:04:05.123456' as t, timestamp_ntz '2024-01-02 00:00:00' as u")
+    tables.write_csv(df, str(tmp_path / "c"))
+    assert tables.read_csv(spark, str(tmp_path / "c"), schema=df.schema).collect() == df.collect()
 
 
 def test_bundle_round_trip(spark, tmp_path):
@@ -128,6 +147,14 @@ def test_bundle_round_trip(spark, tmp_path):
     path = str(tmp_path / "bundle")
     save_bundle(bundle, path)
     save_bundle(bundle, path)  # replaces the older one
+    save_bundle(load_bundle(spark, path), path)  # onto itself
+    class Broken:
+        def write(self):
+            raise OSError("disk")
+
+    with pytest.raises(OSError):
+        save_bundle(Bundle(Broken(), ["g"], "y"), path)  # the older one stays
+    drop_old_versions(spark, path)
     got = load_bundle(spark, path)
     assert (got.features, got.target, got.config) == (["f"], "y", {"as_of": "2024-01-24"})
     assert sorted(got.rule.transform(df).collect()) == sorted(rule.transform(df).collect())
