@@ -40,18 +40,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/_scratch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, made: list[DataFrame] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends here.
 
     Used where a result is read many times (training rows, encoder classes) or must not be
     computed twice (row numbers given by position). The table outlives lost executors; ``discard``
-    deletes it once nothing reads it any more.
+    deletes it once nothing reads it any more. It is added to ``made``, for those who count on that.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/clickloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch_path = path
+    if made is not None:
+        made.append(back)
     return back
 
 
