@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .text import slices
 
 LENGTH = 4096  # ids in a sequence
 END = 2  # id after each document
@@ -173,15 +174,12 @@ def tokenize(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``(doc_id, ids, n, key)`` per row of ``docs``; ``ids`` holds two bytes per id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, signs, end = Words(path), projection(), np.array([END], "<u2").tobytes()
-        for batch in batches:
-            texts = batch.column(1)
-            for lo in range(0, batch.num_rows, 256):
-                ids = [words.encode(t.as_py() or "") + end for t in texts[lo:lo + 256]]
-                cells = np.array([point(np.frombuffer(i, "<u2"), signs) for i in ids])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:lo + 256], pa.array(ids, pa.binary()),
-                     pa.array([len(i) // 2 for i in ids], pa.int64()),
-                     pa.array(hilbert(cells), pa.int64())], ["doc_id", "ids", "n", "key"])
+        for batch in slices(batches):
+            ids = [words.encode(t or "") + end for t in batch.column(1).to_pylist()]
+            cells = np.array([point(np.frombuffer(i, "<u2"), signs) for i in ids])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 2 for i in ids], pa.int64()),
+                 pa.array(hilbert(cells), pa.int64())], ["doc_id", "ids", "n", "key"])
 
     cells = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     return cells.mapInArrow(run, "doc_id long, ids binary, n long, key long")
@@ -222,7 +220,7 @@ def _by_part():
 
 def cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Pieces of documents: cut where a sequence ends."""
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for doc, raw, first in zip(*(batch.column(i).to_pylist() for i in range(3))):
             ids = np.frombuffer(raw, "<u2").astype("<u4")

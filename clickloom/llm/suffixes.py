@@ -13,8 +13,12 @@ lie in segments with equal anchors, and the rest runs per anchor.
    the same scan over the reversed left contexts finds where left extensions become diverse. What is
    diverse on both sides is a maximal repeat, and all its occurrences are put out, not only
    neighbours in the order. Segments end where their strings end, and so do the repeats found there.
-4. Anchors with more than ``CROWD`` different segments are never gathered: their strings of
-   ``LENGTH`` bytes are counted by two 64-bit hashes, which splits over any number of tasks.
+4. Anchors with more than ``CROWD`` different segments are never gathered. A string of ``LENGTH``
+   bytes has some number of bytes before the anchor; the range of that number is halved again and
+   again. Strings of one half share at least so many bytes on the left and so many on the right, and
+   segments that differ there go separate ways: groups of one are done, groups of at most ``CROWD``
+   are scanned as above, the others are halved again. At a single number all of a group share a
+   string. Each halving is one shuffle of the crowded segments.
 
 Texts are compared as UTF-8 bytes; a match never crosses from one text into another.
 
@@ -36,10 +40,11 @@ from pyspark.sql import functions as F
 
 from ..session import discard, written
 from .shingles import BASE, U64, mixed
+from .text import slices
 
 LENGTH = 200
 GRAM = 24
-CROWD = 256
+CROWD = 512
 BATCH = 1 << 20  # bytes handled at once; longer texts are handled in overlapping parts
 PLACE_BITS = U64(22)  # places in a batch and the text that goes beyond it
 KEY = ["d", "t"]  # id and hash of a text: equal only for equal rows
@@ -132,7 +137,7 @@ def anchors(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(h, seg, d, t, at, left, count)``: every anchored segment of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes = Prefixes()
-        for batch in batches:
+        for batch in slices(batches):
             body = batch.column(2).to_pylist()
             parts = [(i, at, b[at:at + BATCH + LENGTH - 1]) for i, b in enumerate(body)
                      for at in range(0, max(len(b) - LENGTH + 1, 0), BATCH)]
@@ -217,13 +222,24 @@ def _covered(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
             yield rows[m][0], rows[m][1] - left, left + right, name
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats per anchor from rows sorted by anchor."""
+def _scan(batches: Iterator[pa.RecordBatch], merged: bool) -> Iterator[pa.RecordBatch]:
+    """Repeats per group of segments with one anchor, from rows sorted by group.
+
+    ``merged`` puts overlapping repeats of a segment together, for those who need only the bytes.
+    """
     now, rows, out = None, [], []
 
     def flush() -> None:
-        if len(rows) > 1:
-            out.extend((now, *r) for r in _covered(rows))
+        if len(rows) < 2:
+            return
+        if not merged:
+            out.extend((now[1], *r) for r in _covered(rows))
+            return
+        spans: dict[int, list] = {}
+        for seg, start, length, _ in _covered(rows):
+            spans.setdefault(seg, []).append({"start": start, "length": length})
+        for seg, found in spans.items():
+            out.extend((now[1], seg, a, b - a, 0) for a, b in _merged(found))
 
     def batch_of() -> pa.RecordBatch:
         columns = list(zip(*out)) or [()] * 5
@@ -231,11 +247,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)], ["h", "seg", "start", "length", "repeat"])
 
-    for batch in batches:
-        for h, seg, left, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if h != now:
+    for batch in slices(batches, 2000):
+        for group, h, seg, left, body in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (group, h) != now:
                 flush()
-                now, rows = h, []
+                now, rows = (group, h), []
                 if len(out) > 20_000:
                     yield batch_of()
                     out = []
@@ -245,31 +261,55 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of()
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of LENGTH bytes of a segment by its hash."""
-    prefixes = Prefixes()
-    for batch in batches:
-        body = batch.column(3).to_pylist()
-        for lo, hi in _groups([len(b) for b in body]):
-            data = np.frombuffer(b"".join(body[lo:hi]), np.uint8)
-            prefixes.load(data)
-            sizes = np.array([len(b) for b in body[lo:hi]])
-            first = np.cumsum(sizes) - sizes
-            n = sizes - LENGTH + 1
-            row = np.repeat(np.arange(len(n)), n)
-            start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = first[row] + start
-            rows = pa.array(row + lo)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(start.astype(np.int32)), pa.array(prefixes.of(at, at + LENGTH).view(np.int64))],
-                ["h", "seg", "start", "string"])
+HALVED = "h long, seg long, left short, body binary, lo int, hi int, side long"
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment once per half of its range that it has strings in, with a hash of the bytes that
+    all strings of that half hold."""
+    for batch in slices(batches, 2000):
+        out = []
+        for h, seg, left, body, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            right = len(body) - left
+            mid = (lo + hi) // 2
+            for a, b in ((lo, mid), (mid, hi)):
+                if max(a, LENGTH - right) < min(b, left + 1):
+                    shared = body[left - a:left + LENGTH + 1 - b]
+                    side = hashlib.blake2b(shared, digest_size=8).digest()
+                    out.append((h, seg, left, body, a, b, int.from_bytes(side, "little", signed=True)))
+        columns = list(zip(*out)) or [()] * 7
+        kinds = (pa.int64(), pa.int64(), pa.int16(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)],
+            ["h", "seg", "left", "body", "lo", "hi", "side"])
+
+
+def _parted(crowd: DataFrame, made: list[DataFrame] | None) -> tuple[DataFrame, DataFrame | None]:
+    """Groups to scan, and repeats found outright, from crowded segments."""
+    where = ["h", "lo", "hi", "side"]
+    scans, found = None, None
+    rows = crowd.select("h", "seg", "left", "body", F.lit(0).alias("lo"), F.lit(LENGTH - GRAM + 1).alias("hi"))
+    while not rows.isEmpty():
+        halves = written(rows.mapInArrow(_halves, HALVED), "halves")
+        sizes = halves.groupBy(*where).agg(F.count("*").alias("n")).where("n > 1")
+        met = written(halves.join(sizes, where), "parted", made)
+        discard(halves)
+        scan = met.where(F.col("n") <= CROWD).select(
+            F.xxhash64(*where).alias("group"), "h", "seg", "left", "body")
+        leaf = met.where((F.col("n") > CROWD) & (F.col("hi") - F.col("lo") == 1)).select(
+            "h", "seg", (F.col("left") - F.col("lo")).cast("int").alias("start"),
+            F.lit(LENGTH).alias("length"), F.col("side").alias("repeat"))
+        scans = scan if scans is None else scans.union(scan)
+        found = leaf if found is None else found.union(leaf)
+        rows = met.where((F.col("n") > CROWD) & (F.col("hi") - F.col("lo") > 1)).select(
+            "h", "seg", "left", "body", "lo", "hi")
+    return scans, found
 
 
 def contexts(docs: DataFrame, mixed_segments: DataFrame, text: str) -> DataFrame:
     """``(h, seg, left, body)``: the bytes of one segment per content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, bodies = [], []
             for i, (body, places) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 for p in places:
@@ -292,31 +332,33 @@ def contexts(docs: DataFrame, mixed_segments: DataFrame, text: str) -> DataFrame
     return met.mapInArrow(run, "h long, seg long, left short, body binary").dropDuplicates(["h", "seg"])
 
 
-def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, text: str = "text", merged: bool = False,
+            made: list[DataFrame] | None = None) -> DataFrame:
     """``(d, t, start, length, repeat)``: every occurrence of every repeat.
 
     ``repeat`` names the repeated content; segments that are equal as a whole are named by hash.
+    With ``merged``, overlapping repeats of one segment are put together and have no name.
     """
     every = written(anchors(docs, text), "anchors")
-    often = every.groupBy("h").agg(
-        F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high")).where("n > 1")
+    # a table of its own, so that a join with a hot anchor can be split
+    often = written(every.groupBy("h").agg(
+        F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high")).where("n > 1"), "often")
     found = written(every.join(often, "h").select(
-        *every.columns, (F.col("low") != F.col("high")).alias("mixed")), "segments")
-    discard(every)
+        *every.columns, (F.col("low") != F.col("high")).alias("mixed")), "segments", made)
+    discard(every, often)
     same = found.where("not mixed")
     other = found.where("mixed")
     per_content = other.groupBy("h", "seg").agg(F.count("*").alias("n"))
     crowd = per_content.groupBy("h").agg(F.count("*").alias("contents"))
-    bodies = written(contexts(docs, other, text).join(crowd, "h"), "contexts")
-    few = bodies.where(F.col("contents") <= CROWD).select("h", "seg", "left", "body")
-    scanned = few.repartition("h").sortWithinPartitions("h").mapInArrow(
-        _scan, "h long, seg long, start int, length int, repeat long")
-    strings = bodies.where(F.col("contents") > CROWD).select("h", "seg", "left", "body").mapInArrow(
-        _strings, "h long, seg long, start int, string long")
-    twice = strings.groupBy("h", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    counted = strings.join(twice, ["h", "string"]).select(
-        "h", "seg", "start", F.lit(LENGTH).alias("length"), F.col("string").alias("repeat"))
-    inner = scanned.union(counted).join(other, ["h", "seg"]).select(
+    bodies = written(contexts(docs, other, text).join(crowd, "h"), "contexts", made)
+    groups = bodies.where(F.col("contents") <= CROWD).select(
+        F.col("h").alias("group"), "h", "seg", "left", "body")
+    scans, strings = _parted(bodies.where(F.col("contents") > CROWD), made)
+    groups = groups if scans is None else groups.union(scans)
+    scanned = groups.repartition("group").sortWithinPartitions("group", "h").mapInArrow(
+        lambda batches: _scan(batches, merged), "h long, seg long, start int, length int, repeat long")
+    scanned = scanned if strings is None else scanned.union(strings)
+    inner = scanned.join(other, ["h", "seg"]).select(
         *KEY, (F.col("at") + F.col("start")).alias("start"), "length", "repeat")
     size = (F.col("count") - 1 + LENGTH).cast("int").alias("length")
     whole = same.union(other.join(per_content.where("n > 1").drop("n"), ["h", "seg"], "left_semi")
@@ -336,7 +378,7 @@ def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for body, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             runs = _merged(spans)
@@ -359,8 +401,10 @@ def cut_repeats(docs: DataFrame, text: str = "text", as_text: bool = False) -> D
     """``n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row, and as ``_0``, ``_1``, ...
     the columns of ``docs`` other than the text. ``kept`` is binary, or text without what is left of
     characters that were cut apart."""
-    spans = repeats(docs, text).groupBy(*KEY).agg(
-        F.collect_set(F.struct("start", "length")).alias("_spans"))
+    made: list[DataFrame] = []
+    spans = written(repeats(docs, text, True, made).groupBy(*KEY).agg(
+        F.collect_list(F.struct("start", "length")).alias("_spans")), "spans")
+    discard(*made)
     rest = [c for c in docs.columns if c != text]
     keyed = _texts(docs, text, [F.col(c).alias(f"_{i}") for i, c in enumerate(rest)])
     met = keyed.join(spans, KEY, "left").select("bytes", "_spans", *[f"_{i}" for i in range(len(rest))])
