@@ -63,8 +63,9 @@ def lookup_table(spark: SparkSession, shards: Sequence[str] = SHARDS,
     return spark.range(1).select(F.posexplode(owners).alias("slot", "shard"))
 
 
-def place(df: DataFrame, table: DataFrame, key: str, slots: int = SLOTS) -> DataFrame:
-    """Add ``slot`` (int) and ``shard`` to every row. ``table`` is ``lookup_table`` of ``slots`` rows."""
+def place(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Add ``slot`` (int) and ``shard`` to every row, by the table of ``lookup_table``."""
+    slots = table.count()  # a parameter's worth of rows
     at = (hash31(F.coalesce(F.col(key).cast("string"), F.lit("")), "key:") % slots).cast("int")
     rest = [c for c in df.columns if c not in ("slot", "shard")]
     return df.select(*rest, at.alias("slot")).join(F.broadcast(table), "slot").select(

@@ -201,7 +201,7 @@ class WarcReader(DataSourceReader):
                 room = self.target
             groups[-1].append(name)
             room -= sizes[name]
-        return [Files(g) for g in groups]
+        return [Files(g) for g in groups or [[]]]  # no files are one empty partition
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, folder = _open(self.path)

@@ -36,7 +36,7 @@ def test_predicates_are_taken_over(spark, tmp_path):
     assert "Filter" not in found._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0].replace("Filters", "")
     assert read.where("target_uri is null").count() == 1
     assert read.where("not (page_id = 1)").count() == len(PAGES) - 2  # a missing id is neither
-    assert read.where("target_uri like 'http://a%'").count() == 5
+    assert read.where("target_uri like 'http://a%'").count() == 4
 
 
 def test_unwanted_payloads_are_not_inflated(spark, tmp_path, monkeypatch):
