@@ -33,7 +33,7 @@ from .text import text_of
 MARK = "▁"  # stands for a blank
 HEAD = 100_000
 UNKNOWN_MARGIN = 10.0  # below the least score
-LEAST_USED = -1e8  # pieces at or below this score are never taken
+LEAST_USED = -1e8  # longer pieces at or below this score are never taken
 
 
 def default_model() -> str:
@@ -50,7 +50,7 @@ def piece_table(spark: SparkSession, model: str | None = None) -> DataFrame:
     plain = [i for i in range(p.get_piece_size())
              if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
     rows = [(p.id_to_piece(i), i, float(p.get_score(i))) for i in plain]
-    return spark.createDataFrame([r for r in rows if r[2] > LEAST_USED], "piece string, id int, score double")
+    return spark.createDataFrame([r for r in rows if r[2] > LEAST_USED or len(r[0]) == 1], "piece string, id int, score double")
 
 
 def byte_ids(model: str | None = None) -> list[int]:

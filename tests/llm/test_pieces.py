@@ -8,7 +8,7 @@ TEXTS = [None, "", " ", "  two  blanks ", "hello world", "Grüße\nan\talle 数
 def brute():
     p = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
     ids = {p.id_to_piece(i): i for i in range(p.get_piece_size())
-           if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i)) and p.get_score(i) > pieces.LEAST_USED}
+           if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i)) and (p.get_score(i) > pieces.LEAST_USED or len(p.id_to_piece(i)) == 1)}
     score = {x: p.get_score(i) for x, i in ids.items()}
     low = min(score.values()) - pieces.UNKNOWN_MARGIN
 
