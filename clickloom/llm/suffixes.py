@@ -14,11 +14,11 @@ lie in segments with equal anchors, and the rest runs per anchor.
    diverse on both sides is a maximal repeat, and all its occurrences are put out, not only
    neighbours in the order. Segments end where their strings end, and so do the repeats found there.
 4. Anchors with more than ``CROWD`` different segments are never gathered. A string of ``LENGTH``
-   bytes has some number of bytes before the anchor; the range of that number is halved again and
-   again. Strings of one half share at least so many bytes on the left and so many on the right, and
-   segments that differ there go separate ways: groups of one are done, groups of at most ``CROWD``
-   are scanned as above, the others are halved again. At a single number all of a group share a
-   string. Each halving is one shuffle of the crowded segments.
+   bytes has some number of bytes before the anchor; the range of that number is cut into ``PARTS``
+   again and again. Strings of one part share at least so many bytes on the left and so many on the
+   right, and segments that differ there go separate ways: groups of one are done, groups of at most
+   ``CROWD`` are scanned as above, the others are cut again. At a single number all of a group share
+   a string. Each round is one shuffle of the crowded segments; four rounds end it.
 
 Texts are compared as UTF-8 bytes; a match never crosses from one text into another.
 
@@ -45,6 +45,7 @@ from .text import slices
 LENGTH = 200
 GRAM = 24
 CROWD = 512
+PARTS = 4
 BATCH = 1 << 20  # bytes handled at once; longer texts are handled in overlapping parts
 PLACE_BITS = U64(22)  # places in a batch and the text that goes beyond it
 KEY = ["d", "t"]  # id and hash of a text: equal only for equal rows
@@ -261,18 +262,18 @@ def _scan(batches: Iterator[pa.RecordBatch], merged: bool) -> Iterator[pa.Record
         yield batch_of()
 
 
-HALVED = "h long, seg long, left short, body binary, lo int, hi int, side long"
+SPLIT = "h long, seg long, left short, body binary, lo int, hi int, side long"
 
 
-def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each segment once per half of its range that it has strings in, with a hash of the bytes that
-    all strings of that half hold."""
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment once per part of its range that it has strings in, with a hash of the bytes that
+    all strings of that part hold."""
     for batch in slices(batches, 2000):
         out = []
         for h, seg, left, body, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(6))):
             right = len(body) - left
-            mid = (lo + hi) // 2
-            for a, b in ((lo, mid), (mid, hi)):
+            edges = [lo + (hi - lo) * i // PARTS for i in range(PARTS + 1)]
+            for a, b in zip(edges, edges[1:]):
                 if max(a, LENGTH - right) < min(b, left + 1):
                     shared = body[left - a:left + LENGTH + 1 - b]
                     side = hashlib.blake2b(shared, digest_size=8).digest()
@@ -290,10 +291,10 @@ def _parted(crowd: DataFrame, made: list[DataFrame] | None) -> tuple[DataFrame,
     scans, found = None, None
     rows = crowd.select("h", "seg", "left", "body", F.lit(0).alias("lo"), F.lit(LENGTH - GRAM + 1).alias("hi"))
     while not rows.isEmpty():
-        halves = written(rows.mapInArrow(_halves, HALVED), "halves")
-        sizes = halves.groupBy(*where).agg(F.count("*").alias("n")).where("n > 1")
-        met = written(halves.join(sizes, where), "parted", made)
-        discard(halves)
+        split = written(rows.mapInArrow(_split, SPLIT), "split")
+        sizes = split.groupBy(*where).agg(F.count("*").alias("n")).where("n > 1")
+        met = written(split.join(sizes, where), "parted", made)
+        discard(split)
         scan = met.where(F.col("n") <= CROWD).select(
             F.xxhash64(*where).alias("group"), "h", "seg", "left", "body")
         leaf = met.where((F.col("n") > CROWD) & (F.col("hi") - F.col("lo") == 1)).select(
