@@ -1,37 +1,46 @@
-"""SentencePiece encoding and decoding as relations: a lattice of pieces per word.
+"""SentencePiece encoding and decoding of whole texts, by a lattice of pieces per word.
 
 Text is written with a mark for every blank and one in front, and cut before the marks; no piece
-worth using reaches over one. Every different word is encoded once:
-
-1. its substrings of at most the longest piece's length are exploded;
-2. they meet the piece table by an equi-join. The table is as large as the vocabulary file, whatever
-   the data, so it is broadcast;
-3. the edges found are grouped by word, in the order of their ends;
-4. an aggregate function folds them into the path with the largest sum of scores (Viterbi): for each
-   end it keeps the best score, the piece and where that starts, and then walks back.
-
-A character without a piece is spelt in bytes. The best path under the scores of the file is what a
-unigram model of these pieces gives; files trained for merges (BPE) are read the same way, so their
+worth using reaches over one. In each word, the pieces that start at a place are found by growing a
+substring while some piece still begins with it, and the path with the largest sum of scores is kept
+for each end (Viterbi). Scores are held for one stretch of a word at a time, and only those that a piece can
+still reach go on to the next; of all ends, a word keeps the length of the piece that reached them,
+and walks back over those. The cost of a word is thus its length
+times the longest piece, and its memory a few bytes a character, whatever the text is made of.
+
+A character without a piece is spelt in bytes, and so is a mark that stands in the text itself, so
+that decoding can tell it from a blank. The best path under the scores of the file is what a unigram
+model of these pieces gives; files trained for merges (BPE) are read the same way, so their
 segmentation follows the scores and not the order of merges. Ties go to the longer last piece.
 
-Words meet documents in two ways: the ``HEAD`` most frequent ones are broadcast (a fixed number),
-all others are joined by shuffle. A document sends each of its rare words once.
+Decoding joins the bytes of all pieces of a text and takes the first blank off.
 
-Defined results: missing and empty texts have no pieces; repeated rows get equal results each; very
-long words are handled like others, at the cost of their length times the longest piece; an empty
-table gives an empty table. Columns other than id and text are ignored.
+Rows are independent and are never shuffled; a task keeps the ids of ``HEAD`` words at hand, twice that at most. The
+tables of the model are as large as its file, whatever the data, and travel with the tasks.
+
+Defined results: missing and empty texts have no pieces, and no pieces are an empty text; ids that
+are no text (controls, unknown ones) decode to nothing; missing ids decode to a missing text;
+repeated rows get equal results each; an empty table gives an empty table. Existing result columns
+are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from array import array
+from collections.abc import Iterator
+from math import inf
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
 from .text import text_of
 
 MARK = "▁"  # stands for a blank
-HEAD = 100_000
+HEAD = 100_000  # words whose ids a task keeps at hand, and as many of the time before
+KEPT_LENGTH = 64  # longer words are not kept
+STRETCH = 1024  # characters of a word after which only the scores still in reach go on
 UNKNOWN_MARGIN = 10.0  # below the least score
 LEAST_USED = -1e8  # longer pieces at or below this score are never taken
 
@@ -42,7 +51,7 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def piece_table(spark: SparkSession, model: str | None = None) -> DataFrame:
+def piece_table(model: str | None = None) -> list[tuple[str, int, float]]:
     """``(piece, id, score)`` of the pieces that text can hold; one row per entry of the file."""
     import sentencepiece
 
@@ -50,7 +59,7 @@ def piece_table(spark: SparkSession, model: str | None = None) -> DataFrame:
     plain = [i for i in range(p.get_piece_size())
              if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
     rows = [(p.id_to_piece(i), i, float(p.get_score(i))) for i in plain]
-    return spark.createDataFrame([r for r in rows if r[2] > LEAST_USED or len(r[0]) == 1], "piece string, id int, score double")
+    return [r for r in rows if r[2] > LEAST_USED or len(r[0]) == 1]
 
 
 def byte_ids(model: str | None = None) -> list[int]:
@@ -66,123 +75,138 @@ def marked_words(text: Column) -> Column:
     return F.when(text == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(text, " ", -1))
 
 
-def lattice(words: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``(word, size, edges)``: edges are (end, start, score, id, chars), sorted by end."""
-    longest = pieces.agg(F.max(F.char_length("piece")), F.min("score")).first()
-    w = F.concat(F.lit(MARK), F.col("word"))
-    cut = (words.select("word", w.alias("w"), F.char_length(w).alias("size"))
-           .select("*", F.explode(F.sequence(F.lit(1), F.col("size"))).alias("start"))
-           .select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest[0]), F.col("size") - F.col("start") + 1))).alias("n"))
-           .select("word", "size", "start", "n", F.substring("w", F.col("start"), F.col("n")).alias("piece")))
-    met = cut.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | (F.col("n") == 1))
-    edge = F.struct(
-        (F.col("start") + F.col("n") - 1).alias("end"), (F.col("start") - 1).alias("start"),
-        F.coalesce("score", F.lit(longest[1] - UNKNOWN_MARGIN)).alias("score"),
-        F.coalesce("id", F.lit(-1)).alias("id"),
-        F.when(F.col("id").isNull(), F.col("piece")).alias("chars"))
-    return met.groupBy("word").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
-def best_path(edges: Column, size: Column) -> Column:
-    """The best path's edges, first to last."""
-    node = "struct<score:double,edge:struct<end:int,start:int,score:double,id:int,chars:string>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(None).alias("edge"))).cast(f"array<{node}>")
-
-    def step(best: Column, e: Column) -> Column:
-        total = F.get(best, e["start"])["score"] + e["score"]
-        one = F.array(F.struct(total.alias("score"), e.alias("edge")).cast(node))
-        return (F.when(F.size(best) == e["end"], F.concat(best, one))
-                .when(total > F.get(best, e["end"])["score"], F.concat(F.slice(best, F.lit(1), e["end"]), one))
-                .otherwise(best))
-
-    best = F.aggregate(edges, start, step)
-    back = F.struct(size.alias("at"), F.expr("cast(array() as array<struct<end:int,start:int,score:double,id:int,chars:string>>)").alias("path"))
-    # one step per character is enough; once the start is reached nothing changes
-    return F.transform(F.array(best), lambda b: F.aggregate(
-        F.sequence(F.lit(1), size), back,
-        lambda s, _: F.when(s["at"] == 0, s).otherwise(F.struct(
-            F.get(b, s["at"])["edge"]["start"].alias("at"),
-            F.concat(F.array(F.get(b, s["at"])["edge"]), s["path"]).alias("path"))),
-        lambda s: s["path"]))[0]
-
-
-def encode_words(words: DataFrame, pieces: DataFrame, bytes_: list[int]) -> DataFrame:
-    """``(word, ids)`` for different words."""
-    path = lattice(words, pieces).select("word", best_path(F.col("edges"), F.col("size")).alias("path"))
-    table = F.array(*map(F.lit, bytes_))
-
-    def spelt(chars: Column) -> Column:
-        code = F.hex(F.encode(chars, "UTF-8"))
-        pairs = F.transform(F.sequence(F.lit(1), F.char_length(code), F.lit(2)), lambda i: F.substring(code, i, F.lit(2)))
-        return F.transform(pairs, lambda p: F.get(table, F.conv(p, 16, 10).cast("int")))
-
-    ids = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(spelt(e["chars"]))))
-    return path.select("word", ids.alias("ids"))
-
-
-def decode_words(encoded: DataFrame, pieces: DataFrame, bytes_: list[int]) -> DataFrame:
-    """``(word, decoded)`` from ``(word, ids)``: ids meet the piece table again."""
-    spelt = encoded.sparkSession.range(1).select(
-        F.posexplode(F.array(*map(F.lit, bytes_))).alias("byte", "id")).select(
-        "id", F.lpad(F.hex("byte"), 2, "0").alias("code"))
-    codes = pieces.select("id", F.hex(F.encode("piece", "UTF-8")).alias("code")).union(spelt)
-    each = encoded.select("word", F.posexplode("ids").alias("at", "id")).join(F.broadcast(codes), "id")
-    whole = each.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("at", "code"))).alias("c"))
-    text = F.decode(F.unhex(F.array_join(F.transform("c", lambda x: x["code"]), "")), "UTF-8")
-    return whole.select("word", F.substring(text, F.lit(2), F.char_length(text)).alias("decoded"))
-
-
-def vocabulary(docs: DataFrame, pieces: DataFrame, bytes_: list[int], text: str = "text") -> DataFrame:
-    """``(word, often, ids)`` of every different word of ``docs``."""
-    words = docs.select(F.explode(marked_words(text_of(text))).alias("word"))
-    counted = written(words.groupBy("word").agg(F.count("*").alias("often")), "words")
-    encoded = written(encode_words(counted.select("word"), pieces, bytes_), "pieces")
-    return encoded.join(counted, "word")
-
-
-def _split_lookup(vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The most frequent words, HEAD at most, and all others."""
-    cut = vocab.orderBy(F.desc("often"), "word").limit(HEAD + 1).agg(F.count("*").alias("n"), F.min("often").alias("o")).first()
-    least = cut["o"] if (cut["n"] or 0) > HEAD else 0
-    return vocab.where(F.col("often") > least), vocab.where(F.col("often") <= least)
+class Encoder:
+    """Ids of texts, as bytes of 32-bit numbers."""
+
+    def __init__(self, pieces: list[tuple[str, int, float]], bytes_: list[int], head: int) -> None:
+        self.ids = {piece: i for piece, i, _ in pieces}
+        self.bytes, self.head = bytes_, head
+        self.longest = max(len(piece) for piece in self.ids)
+        self.unknown = min(score for _, _, score in pieces) - UNKNOWN_MARGIN
+        # by character: the same for the next one, and the score, None for what only begins a piece
+        self.start: dict[str, list] = {}
+        for piece, _, score in pieces:
+            at = self.start
+            for char in piece[:-1]:
+                at = at.setdefault(char, [{}, None])[0]
+            at.setdefault(piece[-1], [{}, None])[1] = score
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def text(self, text: str) -> bytes:
+        return b"".join(map(self.word, text.split(" "))) if text else b""
+
+    def word(self, word: str) -> bytes:
+        found = self.known.get(word)
+        if found is None:
+            found = self.before.get(word)
+            if found is None:
+                found = self._new(word)
+            if len(word) <= KEPT_LENGTH:
+                if len(self.known) >= self.head:
+                    self.before, self.known = self.known, {}
+                self.known[word] = found
+        return found
+
+    def _new(self, word: str) -> bytes:
+        first, *rest = word.split(MARK)
+        ids = self.path(MARK + first)
+        for part in rest:
+            ids.extend(self._spelt(MARK))
+            ids.extend(self.path(part))
+        return ids.tobytes()
+
+    def _spelt(self, char: str) -> list[int]:
+        return [self.bytes[b] for b in char.encode("utf-8", "replace")]
+
+    def path(self, part: str) -> array:
+        """The ids of the best path, first to last."""
+        size, longest, first, unknown = len(part), self.longest, self.start, self.unknown
+        took = bytearray(size + 1) if longest < 256 else array("i", bytes(4 * (size + 1)))
+        best = [0.0]
+        for done in range(0, size, STRETCH):
+            stretch = min(STRETCH, size - done)
+            best += [-inf] * (stretch + longest + 1 - len(best))
+            for start in range(stretch):
+                here, end, node = best[start], start, (first, None)
+                for char in part[done + start:done + start + longest]:
+                    node = node[0].get(char)
+                    if node is None:
+                        break
+                    end += 1
+                    if node[1] is not None and here + node[1] > best[end]:
+                        best[end] = here + node[1]
+                        took[done + end] = end - start
+                one = first.get(part[done + start])
+                if (one is None or one[1] is None) and here + unknown > best[start + 1]:
+                    best[start + 1] = here + unknown
+                    took[done + start + 1] = 1
+            best = best[stretch:]
+        out, end = array("i"), size
+        while end:
+            piece = part[end - took[end]:end]
+            known = self.ids.get(piece)
+            if known is not None:
+                out.append(known)
+            else:
+                out.extend(reversed(self._spelt(" " if piece == MARK else piece)))
+            end -= took[end]
+        out.reverse()
+        return out
+
+
+class Decoder(dict):
+    """The bytes of each id; none for ids that are no text."""
+
+    def __init__(self, pieces: list[tuple[str, int, float]], bytes_: list[int]) -> None:
+        super().__init__({i: piece.replace(MARK, " ").encode() for piece, i, _ in pieces})
+        self.update((i, bytes([b])) for b, i in enumerate(bytes_))
+
+    def __missing__(self, _: int) -> bytes:
+        return b""
+
+    def text(self, ids: list[int]) -> str:
+        return b"".join(map(self.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
-def measure(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_pieces, ids_sum, round_trip)`` for every row.
+def encode(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, the ids of each text, in order."""
+    pieces, bytes_, head = piece_table(model), byte_ids(model), HEAD
 
-    ``round_trip`` tells that decoding the pieces of every word gives the word again.
-    """
-    spark = docs.sparkSession
-    pieces, bytes_ = piece_table(spark, model), byte_ids(model)
-    vocab = vocabulary(docs.select(text), pieces, bytes_, text)
-    decoded = decode_words(vocab, pieces, bytes_)
-    ids_sum = F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x)
-    facts = written(vocab.join(decoded, "word", "left").select(
-        "word", "often", F.size("ids").cast("long").alias("n"), ids_sum.alias("s"),
-        F.coalesce(F.col("decoded") == F.col("word"), F.lit(False)).alias("ok")), "word-facts")
-    head, tail = _split_lookup(facts)
-    rows = written(docs.select("doc_id", text).withColumn("row", F.monotonically_increasing_id()).select(
-        "row", "doc_id", F.size(marked_words(text_of(text))).cast("long").alias("n_words"), text), "piece-rows")
-    each = rows.select("row", F.explode(marked_words(text_of(text))).alias("word"))
-    sums = [F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("ok").alias("ok")]
-    near = each.join(F.broadcast(head.drop("often")), "word", "left")
-    common = near.where(F.col("n").isNotNull()).groupBy("row").agg(*sums)
-    rare = near.where(F.col("n").isNull()).select("row", "word").join(tail.drop("often"), "word").groupBy("row").agg(*sums)
-    total = common.union(rare).groupBy("row").agg(*sums)
-    return rows.drop(text).join(total, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n", F.lit(0)).alias("n_pieces"),
-        F.coalesce("s", F.lit(0)).alias("ids_sum"), F.coalesce("ok", F.lit(True)).alias("round_trip"))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(pieces, bytes_, head)
+        for texts in batches:
+            coded = [encoder.text(t.as_py()) for t in texts]
+            offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int64)
+            values = pa.array(np.frombuffer(b"".join(coded), np.int32))
+            yield pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
+    ids = F.arrow_udf(run, "array<int>")(text_of(text))
+    return docs.drop("ids").withColumn("ids", ids) if text != "ids" else docs.withColumn("ids", ids)
 
-def encode(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
-    """``docs`` with the ids of each text, in order."""
-    spark = docs.sparkSession
-    pieces, bytes_ = piece_table(spark, model), byte_ids(model)
-    vocab = vocabulary(docs.select(text), pieces, bytes_, text)
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "encode")
-    each = rows.select("_row", F.posexplode(marked_words(text_of(text))).alias("at", "word"))
-    ids = each.join(vocab.drop("often"), "word").groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("w"))
-    return rows.drop("ids").join(ids, "_row", "left").withColumn(
-        "ids", F.coalesce(F.flatten(F.transform("w", lambda x: x["ids"])), F.expr("cast(array() as array<int>)"))
-    ).drop("_row", "w")
+
+def decode(docs: DataFrame, model: str | None = None, ids: str = "ids") -> DataFrame:
+    """``docs`` with ``decoded``, the whole text that ``ids`` stand for."""
+    pieces, bytes_ = piece_table(model), byte_ids(model)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        decoder = Decoder(pieces, bytes_)
+        for lists in batches:
+            yield pa.array([decoder.text(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.string())
+
+    return docs.withColumn("decoded", F.arrow_udf(run, "string")(F.col(ids)))
+
+
+def measure(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
+    """``(doc_id, n_words, n_pieces, ids_sum, ids_sha256, round_trip)`` for every row.
+
+    The digest is that of the ids in order, in decimals with commas between. ``round_trip`` tells
+    that the ids of the whole text decode to that text, byte for byte.
+    """
+    both = decode(encode(docs.select("doc_id", text), model, text), model)
+    return both.select(
+        "doc_id", F.size(marked_words(text_of(text))).cast("long").alias("n_words"),
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        (F.col("decoded") == text_of(text)).alias("round_trip"))

@@ -49,3 +49,14 @@ def test_measures_with_few_and_many_frequent_words(docs_of, monkeypatch):
 
 def test_empty_table(docs_of):
     assert pieces.measure(docs_of("a").limit(0)).count() == 0
+
+
+def test_long_texts_without_blanks(docs_of):
+    short = ["数字和文字" * 20, "QmFzZTY0" * 30, "a\tb\n" * 50]
+    want = brute()
+    for r in pieces.encode(docs_of(*short)).collect():
+        assert r["ids"] == want(r["text"])
+    long = ["QmFzZTY0+/x9" * 87_400, "数字和文字" * 70_000, "line\tof\n" * 131_072]
+    assert min(len(t.encode()) for t in long) > 1_000_000
+    rows = pieces.measure(docs_of(*long)).collect()
+    assert all(r["round_trip"] and r["n_words"] == 1 and r["n_pieces"] > 100_000 for r in rows)
