@@ -82,4 +82,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.measure(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pieces.measure(docs).select("doc_id", "n_pieces", "ids_sha256", "round_trip")

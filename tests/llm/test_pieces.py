@@ -51,6 +51,23 @@ def test_empty_table(docs_of):
     assert pieces.measure(docs_of("a").limit(0)).count() == 0
 
 
+def test_whole_texts_decode_from_ids_in_order(docs_of):
+    texts = [*TEXTS, "▁", "a▁b ▁▁c", "one two", "two one", "tab\tand\nline"]
+    back = pieces.decode(pieces.encode(docs_of(*texts)))
+    assert {r["doc_id"]: r["decoded"] for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+    rows = {r["doc_id"]: r for r in pieces.measure(docs_of(*texts)).collect()}
+    assert all(r["round_trip"] for r in rows.values())
+    at = {t: i for i, t in enumerate(texts)}
+    one, two = rows[at["one two"]], rows[at["two one"]]
+    assert one["ids_sum"] == two["ids_sum"] and one["ids_sha256"] != two["ids_sha256"]
+
+
+def test_a_wrong_order_is_seen(docs_of):
+    coded = pieces.encode(docs_of("one two three"))
+    turned = pieces.decode(coded.withColumn("ids", pieces.F.reverse("ids"))).first()
+    assert turned["decoded"] != "one two three"
+
+
 def test_long_texts_without_blanks(docs_of):
     short = ["数字和文字" * 20, "QmFzZTY0" * 30, "a\tb\n" * 50]
     want = brute()
