@@ -4,8 +4,8 @@
    128-bit name of the set. Texts with the same set form one class, whatever their number, and only
    classes go on; copies never meet each other.
 2. Each class is posted under its (coordinate, value) pairs. Postings with one entry cannot match,
-   so they are dropped by a count; a pair of classes with ``MATCHES`` equal coordinates must then
-   share a posting among the rarest ``COORDINATES - MATCHES + 1`` of either (prefix). Long postings
+   so they are dropped by a count; a pair of classes with ``matches`` equal coordinates must then
+   share a posting among the rarest ``COORDINATES - matches + 1`` of either (prefix). Long postings
    are thus skipped wherever rarer ones decide.
 3. The sets of the classes that are left are made again, and the shingles of each that occur in
    another set too are counted. That number bounds every intersection of the set; it drops classes
@@ -18,10 +18,13 @@
    link between components is lost: classes tied by such postings are cut into tiles of ``TILE``, two
    tiles meet in one task, and only confirmed links leave it. Signatures come first there too, and
    classes that the task has connected are not compared again.
-6. A link needs ``MATCHES`` equal coordinates and, on the full sets, the stated Jaccard similarity.
+6. A link needs ``matches`` equal coordinates and, on the full sets, the stated Jaccard similarity.
 
-A pair with exactly that similarity misses the 40 of 64 matches with a probability of about two in
-a million (binomial), less for closer pairs.
+``matches`` is the largest number of equal coordinates that a pair with exactly that similarity
+misses with a probability of ``MISS`` at most (binomial), and closer pairs more rarely. Of 64 these
+are, by percent (missed, per million): 70: 27 (1.06), 75: 31 (1.36), 80: 35 (1.21),
+85: 40 (2.42), 90: 45 (2.47), 95: 50 (0.47). Below 19 percent even one equal
+coordinate is missed more often than that, which is an error.
 
 Defined results: missing, empty and blank texts have no shingles and are linked with nothing; texts
 with fewer words than a shingle are one shingle; repeated rows are linked with each other; rows
@@ -32,6 +35,7 @@ table. Columns other than id and text are ignored, except by ``deduplicate``, wh
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -45,13 +49,27 @@ from .shingles import Shingler, Signer, digest
 from .text import slices
 
 COORDINATES = 64
-MATCHES = 40
+MISS = 2.5e-6  # of pairs at exactly the similarity asked for
 ROUNDS = 1
 TILE = 256
 PERCENT = 80
 WORDS = 5
 
 
+def missed(least: int, percent: int) -> float:
+    """The probability that a pair of this similarity has fewer than ``least`` equal coordinates."""
+    p = percent / 100
+    return sum(comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k) for k in range(least))
+
+
+def matches(percent: int) -> int:
+    """How many equal coordinates a candidate must have."""
+    found = max(m for m in range(COORDINATES + 1) if missed(m, percent) <= MISS)
+    if not found:
+        raise ValueError(f"{COORDINATES} coordinates do not find pairs of {percent} percent")
+    return found
+
+
 def _batches(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Texts of a batch in groups of about ``limit`` bytes, with the place of the first."""
     texts, size, first = [], 0, 0
@@ -102,7 +120,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, text: str = "text"
     return met.mapInArrow(run, "node long, n long, hashes array<long>").dropDuplicates(["node"])
 
 
-def postings(classes: DataFrame, made: list[DataFrame]) -> DataFrame:
+def postings(classes: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
     """``(token, node, n)``: the postings in the prefix of each class that has enough shared ones."""
     coordinate = F.posexplode("signature").alias("c", "v")
     tokens = classes.select("node", "n", coordinate).select(
@@ -115,7 +133,7 @@ def postings(classes: DataFrame, made: list[DataFrame]) -> DataFrame:
     ranked = met.select(
         "token", "node", "n", F.count("*").over(by_class).alias("have"),
         F.row_number().over(by_class.orderBy("often", "token")).alias("place"))
-    prefix = F.col("place") <= F.col("have") - MATCHES + 1
+    prefix = F.col("place") <= F.col("have") - matches(percent) + 1
     return ranked.where(prefix).select("token", "node", "n")
 
 
@@ -125,7 +143,7 @@ def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, percent: int
     one, two = (signs.select(F.col("node").alias(c), F.col("signature").alias(f"s{c}")) for c in "ab")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0),
                         lambda t, x: t + x)
-    near = written(pairs.join(one, "a").join(two, "b").where(equal >= MATCHES).select("a", "b"), "pairs", made)
+    near = written(pairs.join(one, "a").join(two, "b").where(equal >= matches(percent)).select("a", "b"), "pairs", made)
     one, two = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"h{c}"),
                             F.col("n").alias(f"n{c}")) for c in "ab")
     both = near.join(one, "a").join(two, "b").select(
@@ -149,7 +167,7 @@ def _may_link(n: str, m: str, other_n: str, other_m: str, percent: int):
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, made: list[DataFrame],
           text: str = "text") -> DataFrame:
     """``(node, component)`` of the classes that are linked with another."""
-    prefix = written(postings(classes, made), "postings", made)
+    prefix = written(postings(classes, percent, made), "postings", made)
     suspects = prefix.select("node").distinct().join(classes.select("node", "rep", "name"), "node")
     sets = written(full_sets(docs, suspects, words, text), "sets", made)
     lists = written(prefix.join(common_shingles(sets), "node").where(
@@ -217,6 +235,7 @@ def _tile_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     left = rows if same else rows[rows["tile"] == rows["lo"]]
     right = rows if same else rows[rows["tile"] == rows["hi"]]
     out: list[tuple[int, int]] = []
+    least = matches(percent)
     if len(left) and len(right):
         top = dict(zip(rows["at"], rows["at"]))
 
@@ -236,7 +255,7 @@ def _tile_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
                 may &= nodes > one.node
             near = np.flatnonzero(may)
             hits = (signs[near] == one.signature).sum(axis=1)
-            for k in near[hits >= MATCHES][np.argsort(-hits[hits >= MATCHES], kind="stable")]:
+            for k in near[hits >= least][np.argsort(-hits[hits >= least], kind="stable")]:
                 if root(one.at) == root(at[k]):
                     continue
                 both = len(np.intersect1d(one.hashes, hashes[k], assume_unique=True))

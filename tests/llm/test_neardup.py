@@ -74,3 +74,23 @@ def test_components_of_a_path_and_a_ring(spark):
     edges = spark.createDataFrame(path + ring, "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(9)}
+
+
+def test_equal_coordinates_asked_for_follow_the_similarity():
+    assert neardup.matches(85) == 40
+    for percent in (50, 70, 80, 85, 90, 95, 100):
+        least, p = neardup.matches(percent), percent / 100
+        tail = [sum(neardup.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(m)) for m in (least, least + 1)]
+        assert tail[0] <= 2.5e-6 and (least == 64 or tail[1] > 2.5e-6)
+
+
+def test_a_pair_at_the_limit_with_few_equal_coordinates_is_linked():
+    least = neardup.matches(80)
+    assert least < 40
+    sets = [list(range(0, 90)), list(range(10, 100))]  # 80 of 100 shingles
+    for equal, found in ((least, 1), (least - 1, 0)):
+        rows = neardup.pd.DataFrame({
+            "lo": 0, "hi": 0, "tile": 0, "node": [1, 2], "n": 90, "m": 80, "at": [1, 2],
+            "signature": [neardup.np.zeros(64, int), neardup.np.array([0] * equal + [1] * (64 - equal))],
+            "hashes": [neardup.np.array(s) for s in sets]})
+        assert len(neardup._tile_links(rows, 80)) == found
