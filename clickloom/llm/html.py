@@ -1,12 +1,14 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into its DOM nodes. Elements that never hold article text (navigation, forms,
-scripts, adverts, comments and the like) are cut off by their tag, role or class. For every other
-node the density is its characters per tag, adjusted for links: text inside links counts against
-it. The density sum of a node is the sum over its children; the node with the largest sum is the
-core of the article. The threshold is the least density on the path from that node up to the body;
-siblings at or above it are part of the article too, and an enclosing ``article`` or ``main`` is
-taken whole.
+scripts, adverts, comments and the like) are cut off by their tag, role or class. A class or id never
+cuts headings, paragraphs, or what encloses an article or main, or most of the unlinked text of a page
+that has neither.
+For every other node the density is its characters per tag, adjusted for links: text inside links
+counts against it. The density sum of a node is the sum over its children; the node with the largest
+sum is the core of the article. The threshold is the least density on the path from that node up to
+the body; siblings at or above it are part of the article too, and an enclosing ``article`` or
+``main`` is taken whole.
 
 Defined results: missing or empty html and pages without text give an empty text; broken markup is
 read as far as it goes (open elements end with the page); very long pages are read whole; rows are
@@ -31,7 +33,7 @@ SPACE = re.compile(r"\s+")
 
 # Element kinds of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg math select object".split())
+RAW = set("script style textarea title noscript template iframe svg select object annotation annotation-xml".split())
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav
     ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -45,6 +47,10 @@ BESIDE = re.compile(
     r"popup|modal|overlay|comments?|commentlist|disqus|replies|discussion|share|sharing|social|"
     r"related|recommend\w*|newsletter|subscribe|signup|login|search|widget|toolbar|pagination|"
     r"pager|legal|copyright)(?:$|[\s_-]|\d)", re.I)
+# Names that say something about the article or its page and not about a part beside it.
+MODIFIER = re.compile(r"(?:with|without|no|not|has|entry|post|article|story|content)[_-]", re.I)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+ANCHORED = HEADINGS | {"section"}  # their ids are targets of links
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -52,24 +58,30 @@ class Page:
     """Nodes in document order, so the nodes below ``i`` are ``i`` to ``last[i]``."""
 
     def __init__(self, html: str) -> None:
-        self.tag, self.parent, self.last = ["html"], [-1], [0]
+        self.tag, self.parent = ["html"], [-1]
         self.beside, self.link = [False], [False]
-        self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
+        self.named = [False]  # by a class or id
+        self.own, self.own_linked, self.own_tags, self.own_link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, str | None]] = []  # text, or None where a block begins or ends
         self._read(html)
         self._sum_up()
+        if self._cut_named():
+            self._sum_up()
 
     def _open(self, tag: str, attributes: str, at: int) -> int:
         beside = self.beside[at] or tag in NEVER
         if not beside and tag == "header":
             beside = not self._inside(at, ("article", "main"))
-        if not beside and attributes and tag not in ("html", "body", "article", "main"):
-            beside = _is_beside(attributes)
+        named = False
+        if attributes and tag not in ("html", "body", "article", "main"):
+            beside = beside or _is_beside(attributes)
+            named = tag not in HEADINGS and tag != "p" and _is_named(attributes, tag in ANCHORED)
         self.tag.append(tag)
         self.parent.append(at)
         self.beside.append(beside)
+        self.named.append(named)
         self.link.append(self.link[at] or tag == "a")
-        for counts in (self.chars, self.link_chars, self.tags, self.link_tags, self.last):
+        for counts in (self.own, self.own_linked, self.own_tags, self.own_link_tags):
             counts.append(0)
         return len(self.tag) - 1
 
@@ -133,8 +145,8 @@ class Page:
             if tag in VOID:
                 if tag == "br":
                     self.pieces.append((at, " "))
-                self.tags[at] += 1
-                self.link_tags[at] += self.link[at]
+                self.own_tags[at] += 1
+                self.own_link_tags[at] += self.link[at]
                 continue
             at = self._open(tag, m[3], at)
 
@@ -145,11 +157,37 @@ class Page:
             text = unescape(text)
         self.pieces.append((at, text))
         n = len(SPACE.sub("", text))
-        self.chars[at] += n
+        self.own[at] += n
         if self.link[at]:
-            self.link_chars[at] += n
+            self.own_linked[at] += n
+
+    def _cut_named(self) -> bool:
+        """Mark what a class or id puts beside the article; whether anything was.
+
+        A node stays if it encloses an article or main (other than those within an article, which
+        are its comments). On a page without those, it stays if it encloses more than half of the
+        unlinked text.
+        """
+        if not any(self.named):
+            return False
+        holds = [False] * len(self.tag)
+        for i in range(len(self.tag) - 1, 0, -1):
+            up = self.parent[i]
+            if self.tag[i] in ("article", "main") and self.chars[i] and not self._inside(up, ("article",)):
+                holds[up] = True
+            holds[up] |= holds[i]
+        plain = self.chars[0] - self.link_chars[0]
+        for i in range(1, len(self.tag)):
+            if self.beside[self.parent[i]]:
+                self.beside[i] = True
+            elif self.named[i] and not holds[i]:
+                self.beside[i] |= holds[0] or 2 * (self.chars[i] - self.link_chars[i]) <= plain
+        return True
 
     def _sum_up(self) -> None:
+        self.chars, self.link_chars = self.own.copy(), self.own_linked.copy()
+        self.tags, self.link_tags = self.own_tags.copy(), self.own_link_tags.copy()
+        self.last = [0] * len(self.tag)
         for i in range(len(self.tag) - 1, 0, -1):
             up = self.parent[i]
             self.last[i] = max(self.last[i], i)
@@ -200,14 +238,16 @@ class Page:
                 and (i == best or (density[i] >= threshold and 2 * self.link_chars[i] < self.chars[i]))]
 
     def text(self) -> str:
-        ranges = self.article()
+        inside = bytearray(len(self.tag))
+        for a, b in self.article():
+            inside[a:b + 1] = b"\1" * (b + 1 - a)
         blocks, run = [], []
         for i, piece in [*self.pieces, (0, None)]:
             if piece is None:
                 if line := SPACE.sub(" ", "".join(run)).strip():
                     blocks.append(line)
                 run = []
-            elif not self.beside[i] and any(a <= i <= b for a, b in ranges):
+            elif not self.beside[i] and inside[i]:
                 run.append(piece)
         return "\n".join(blocks)
 
@@ -215,14 +255,23 @@ class Page:
 def _is_beside(attributes: str) -> bool:
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if (name in ("class", "id") and BESIDE.search(value)
-                or name == "role" and value.lower() in ROLES
+        if (name == "role" and value.lower() in ROLES
                 or name == "hidden" or name == "aria-hidden" and value.lower() == "true"
                 or name == "style" and HIDDEN.search(value)):
             return True
     return False
 
 
+def _is_named(attributes: str, anchored: bool) -> bool:
+    """Whether a word of class or id marks something beside the article."""
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "class" or name == "id" and not anchored:
+            if any(BESIDE.search(w) and not MODIFIER.match(w) for w in value.split()):
+                return True
+    return False
+
+
 def main_text(html: str | None) -> str:
     return Page(html).text() if html else ""
 

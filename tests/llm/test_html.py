@@ -37,3 +37,21 @@ def test_links_weigh_against_a_block():
     links = "".join(f"<li><a href={i}>a rather long link text number {i}</a></li>" for i in range(30))
     page = f"<body><div><ul>{links}</ul></div><div>{ARTICLE}</div></body>"
     assert html.main_text(page) == TEXT
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='layout with-sidebar'><article>{ARTICLE}</article></div></body>",
+    f"<body><div class='sidebar-layout'><article>{ARTICLE}</article><div class='sidebar'>Other</div></div></body>",
+    f"<body><div class='no-sidebar'><div>{ARTICLE}</div></div></body>",
+    f"<body><div class='widget'>{ARTICLE}</div></body>",
+    "<article><div class='entry-header'><h1 id='search'>Title &amp; more</h1></div><section id='discussion'><p id='related-work'>"
+    "First paragraph of the article, long enough to matter.</p></section><p class='notice'>Second one &lt;here&gt;.</p></article>",
+    f"<div class='ad'>{'Buy now this and that. ' * 20}</div><article>{ARTICLE}</article>",
+    f"<article>{ARTICLE}<section class='comments'><article><p>I liked it.</p></article></section></article>",
+])
+def test_names_do_not_cut_article_text(page):
+    assert html.main_text(page) == TEXT
+
+
+def test_formulas_are_kept():
+    assert html.main_text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>") == "So x=1 holds."
