@@ -6,9 +6,9 @@ cuts headings, paragraphs, or what encloses an article or main, or most of the u
 that has neither.
 For every other node the density is its characters per tag, adjusted for links: text inside links
 counts against it. The density sum of a node is the sum over its children; the node with the largest
-sum is the core of the article. The threshold is the least density on the path from that node up to
-the body; siblings at or above it are part of the article too, and an enclosing ``article`` or
-``main`` is taken whole.
+sum is the core of the article. An enclosing ``article`` or ``main`` is taken whole. Without one, all
+that is not mostly links on the levels from the core up to the page is part of the article too, and
+so are headings and the text that stands in the enclosing nodes themselves.
 
 Defined results: missing or empty html and pages without text give an empty text; broken markup is
 read as far as it goes (open elements end with the page); very long pages are read whole; rows are
@@ -229,13 +229,13 @@ class Page:
                 whole = i
         if whole is not None:
             return [(whole, self.last[whole])]
-        inner = [i for i in path if self.tag[i] not in ("html", "body")] or path
-        threshold = min(density[i] for i in inner)
-        up = self.parent[best]
-        if up < 0:
-            return [(best, self.last[best])]
-        return [(i, self.last[i]) for i in nodes[1:] if self.parent[i] == up
-                and (i == best or (density[i] >= threshold and 2 * self.link_chars[i] < self.chars[i]))]
+        # on every level up to the page, what stands beside the path and is not mostly links
+        steps, ranges = set(path), [(best, self.last[best])]
+        ranges += [(i, i) for i in path[1:]]
+        ranges += [(i, self.last[i]) for i in nodes[1:] if i not in steps and self.parent[i] in steps
+                   and self.parent[i] != best
+                   and (self.tag[i] in HEADINGS or 2 * self.link_chars[i] < self.chars[i])]
+        return ranges
 
     def text(self) -> str:
         inside = bytearray(len(self.tag))

@@ -55,3 +55,13 @@ def test_names_do_not_cut_article_text(page):
 
 def test_formulas_are_kept():
     assert html.main_text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>") == "So x=1 holds."
+
+
+def test_sections_of_unequal_density_without_an_article():
+    long, short = (["".join(f"w{i}{j} " for j in range(n)).strip() for i in range(k)] for k, n in ((5, 75), (4, 30)))
+    sections = ["<section>" + "".join(f"<p>{t}</p>" for t in part) + "</section>" for part in (long, short)]
+    nav = "<div><a href=1>one</a> <a href=2>two</a></div>"
+    for page in (f"<body>{nav}{sections[0]}{sections[1]}</body>",
+                 f"<body>{nav}<div>{sections[0]}</div><div><div>{sections[1]}</div></div></body>"):
+        assert html.main_text(page) == "\n".join(long + short)
+    assert html.main_text(f"<body>Before{''.join(sections)}</body>") == "\n".join(["Before", *long, *short])
