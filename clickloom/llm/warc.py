@@ -1,9 +1,9 @@
 """WARC archives as a Spark data source: ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 Writing. Every row becomes one record in its own gzip member; a task writes one file after another,
-each up to ``maxBytes``. A file has a name of its own per attempt, and the manifest written at
-commit names the files of the attempts that counted, so retried or lost tasks leave nothing that is
-read. The gzip header of a member holds its compressed length.
+each up to ``maxBytes``. A file has a name of its own per attempt, and every commit writes a manifest
+of its own that names the files of the attempts that counted, so retried or lost tasks leave nothing
+that is read; the reader reads what all manifests name. The gzip header of a member holds its compressed length.
 
 Reading. The driver lists files and packs them into partitions by size. Comparisons with a
 constant (equality, membership, prefix, null tests) on record type and header columns are taken
@@ -24,6 +24,7 @@ Broken records end the file with an error that names it. Columns beyond those li
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -156,7 +157,7 @@ class WarcWriter(DataSourceArrowWriter):
         system, folder = _open(self.path)
         system.create_dir(folder, recursive=True)
         names = sorted(f for m in messages if m for f in m.files)
-        with system.open_output_stream(f"{folder}/manifest.json", compression=None) as out:
+        with system.open_output_stream(f"{folder}/manifest-{uuid.uuid4().hex}.json", compression=None) as out:
             out.write(json.dumps(names).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -191,9 +192,13 @@ class WarcReader(DataSourceReader):
         info = system.get_file_info(fs.FileSelector(folder))
         sizes = {i.base_name: i.size for i in info if i.type == fs.FileType.File
                  and i.base_name.endswith((".warc", ".warc.gz"))}
-        if any(i.base_name == "manifest.json" for i in info):
-            with system.open_input_stream(f"{folder}/manifest.json", compression=None) as f:
-                sizes = {name: sizes[name] for name in json.loads(f.read())}
+        manifests = [i.base_name for i in info if re.fullmatch(r"manifest(-[0-9a-f]{32})?\.json", i.base_name)]
+        if manifests:
+            counted: set[str] = set()
+            for name in manifests:
+                with system.open_input_stream(f"{folder}/{name}", compression=None) as f:
+                    counted.update(json.loads(f.read()))
+            sizes = {name: sizes[name] for name in sorted(counted)}
         groups, room = [], 0
         for name in sorted(sizes, key=sizes.get, reverse=True):
             if sizes[name] > room:

@@ -88,3 +88,14 @@ def test_several_files_and_partitions(spark, tmp_path):
     warc.records(df).write.format("warc").option("path", path).option("maxBytes", 300).mode("append").save()
     read = spark.read.format("warc").option("partitionBytes", 2000).load(path)
     assert read.rdd.getNumPartitions() > 3 and read.count() == 60
+
+
+def test_a_second_write_keeps_the_records_of_the_first(tmp_path):
+    (tmp_path / "lost.warc.gz").write_bytes(b"half a record")
+    for i in range(2):
+        writer = warc.WarcWriter({"path": str(tmp_path)})
+        batch = warc.pa.RecordBatch.from_pylist([{"record_type": "response", "page_id": i, "payload": b"x"}])
+        writer.commit([writer.write(iter([batch])), None])
+    reader = warc.WarcReader(warc.StructType().add("page_id", "long"), {"path": str(tmp_path)})
+    read = [b.to_pylist() for part in reader.partitions() for b in reader.read(part)]
+    assert sorted(r["page_id"] for rows in read for r in rows) == [0, 1]
