@@ -39,3 +39,13 @@ def test_stages_keep_the_columns_and_take_effect(spark):
         docs = after
     pieces = corpus_pipeline.STAGES[4][1](spark, docs, SF)
     assert pieces.select("doc_id").distinct().count() == n
+
+
+def test_stages_that_change_texts_count_them_anew(docs_of, monkeypatch):
+    shorter = lambda docs: docs.withColumn("text", corpus_pipeline.F.lit("é😀"))
+    monkeypatch.setattr(corpus_pipeline.suffixes, "remove_repeats", shorter)
+    monkeypatch.setattr(corpus_pipeline.private, "redact", shorter)
+    docs = docs_of("a longer text")
+    for stage in (corpus_pipeline.repeated_passages, corpus_pipeline.personal_data):
+        after = stage(docs.sparkSession, docs, "")
+        assert after.dtypes == docs.dtypes and after.first()["n_chars"] == 2
