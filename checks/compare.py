@@ -29,8 +29,8 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
     def plain(v):
         if pd.isna(v):
             return ""
-        if isinstance(v, float):
-            return repr(v + 0.0)
+        if isinstance(v, float):  # whole numbers turn into floats where some are missing
+            return str(int(v)) if v.is_integer() else repr(v)
         return str(v)
 
     pdf = pdf[sorted(pdf.columns)].astype(object)
