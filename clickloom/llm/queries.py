@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import html, neardup, packing, pieces, private, quality, shards, suffixes, topk, warc
+from . import (
+    html, langid, neardup, negatives, packing, pieces, prefixtrie, private, quality, shards, suffixes, topk, warc,
+)
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +86,24 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pieces.measure(docs).select("doc_id", "n_pieces", "ids_sha256", "round_trip")
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, label)
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.is_held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    told = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return told.select("doc_id", "held_out", "lang_pred", "score", F.col("lang").isNull().alias("rejected"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.build(table(spark, sf_dir, "conversations"))

@@ -21,7 +21,7 @@ Columns other than id and vector are ignored; no vectors or no queries give an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -40,13 +40,13 @@ TILE = 1024  # queries of a tile
 PACKED = "part int, place long, ids binary, matrix binary, width int"
 
 
-def whole_numbers(df: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """``(id, vector)`` with usable vectors only, as whole numbers; repeated rows once."""
+def whole_numbers(df: DataFrame, id_column: str, vector: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, vector, *keep)`` with usable vectors only, as whole numbers; repeated rows once."""
     v = F.col(vector)
     usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     numbers = F.transform(v, lambda x: F.floor(F.lit(SCALE) * x.cast("double")))
     return (df.where(usable & F.col(id_column).isNotNull())
-            .select(F.col(id_column).cast("long").alias("id"), numbers.alias("vector")).distinct())
+            .select(F.col(id_column).cast("long").alias("id"), numbers.alias("vector"), *keep).distinct())
 
 
 def packed(vectors: DataFrame, rows: int) -> DataFrame:
