@@ -313,7 +313,11 @@ def search(forest: DataFrame, anchors: DataFrame, tiles: int, same: bool, k: int
         "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
     needed = written(left.groupBy("tile", "span").cogroup(right.groupBy("tile", "span")).applyInPandas(
         lambda a, b: _needed(a, b, same), "tile long, tree long"), "needed", made)
-    counts = needed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / SPAN).alias("parts"))
+    # few groups of anchors: smaller shares of the trees, so that every core has work
+    cores = forest.sparkSession.sparkContext.defaultParallelism
+    n = F.count(F.lit(1))
+    counts = needed.groupBy("tile").agg(
+        F.least(n, F.greatest(F.ceil(n / SPAN), F.lit(-(-cores // tiles)))).alias("parts"))
     shipped = written(needed.join(counts, "tile").select(
         "tile", "tree", F.pmod(F.xxhash64("tree"), "parts").alias("part")), "shipped", made)
     sent = _anew(shipped.join(forest, "tree"))
