@@ -1,56 +1,26 @@
-"""Tree models on Spark ML: the boosted pair, the forest and the ranker."""
+"""Tree models: the boosted pair, the forest and the ranker."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..boosting.fit import Boosting, best_round, fit
+from ..boosting.objectives import LISTWISE
 from ..functions.scores import blend
-from ..session import shared_folder, written
+from ..session import written
 
 SEED = 42
 FEATURES, LABEL, HELD_OUT = "features", "label", "_held_out"
-FIRST_LOOK = 28  # rounds beyond the patience in the first fit
 FIRST, SECOND, FOREST, RANKER = "first", "second", "forest", "ranker"
 
 
-@dataclass(frozen=True)
-class Boosting:
-    """Settings of one booster.
-
-    ``rounds`` is a budget: training ends once the held-out loss has not improved for ``patience``
-    rounds, and the best round is kept.
-    """
-
-    rounds: int = 1000
-    patience: int = 100
-    rate: float = 0.05
-    depth: int = 6
-    feature_share: float = 0.8
-    row_share: float = 0.8
-    bins: int = 64
-    seed: int = SEED
-
-    def params(self, rounds: int) -> dict:
-        return {
-            "maxIter": rounds,
-            "stepSize": self.rate,
-            "maxDepth": self.depth,
-            "featureSubsetStrategy": str(self.feature_share),
-            "subsamplingRate": self.row_share,
-            "maxBins": self.bins,
-            "seed": self.seed,
-        }
-
-
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
@@ -74,43 +44,11 @@ def assembled(
     )
 
 
-# The second booster differs in what it sees: all features at each split, and finer bins.
-SECOND_BOOSTER = Boosting(seed=SEED + 1, feature_share=1.0, bins=256)
-
-
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The round (from 1) kept when training waits ``patience`` rounds for a better one, and
-    whether the wait is over within ``losses``."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def _fit_patiently(make, rows: DataFrame, settings: Boosting, losses_of):
-    """Fit with the number of rounds that held-out rows prefer; with all rounds if there are none.
-
-    Spark's own stop ends at the first worse round. Here a fit of limited length is judged round by
-    round, and made longer while the wait is not over. The first rounds of a longer or shorter fit
-    are the same trees, as seed and rows are.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:  # boosting cuts its lineage every few rounds
-        context.setCheckpointDir(shared_folder(rows.sparkSession))
-    train, held = rows.where(~F.col(HELD_OUT)), rows.where(F.col(HELD_OUT))
-    if held.isEmpty():
-        return make(**settings.params(settings.rounds)).fit(train)
-    length = min(settings.rounds, settings.patience + FIRST_LOOK)
-    while True:
-        model = make(**settings.params(length)).fit(train)
-        best, over = best_round(losses_of(model, held), settings.patience)
-        if over or length == settings.rounds:
-            break
-        length = min(2 * length, settings.rounds)
-    return model if best == length else make(**settings.params(best)).fit(train)
+# Settings of the second booster (levels, penalty, rows and columns drawn for every tree).
+SECOND_BOOSTER = Boosting(
+    seed=SEED + 1, depth=6, l2=1.0, min_curvature=1.0, min_rows=1, row_every=1, bins=256)
+# Settings of the ranker.
+RANKER_BOOSTER = Boosting(rounds=500, patience=40, leaves=63, row_every=3, objective=LISTWISE)
 
 
 def _named(classifier, model: str):
@@ -130,16 +68,12 @@ def fit_pair(
 ) -> PipelineModel:
     """Two boosted classifiers on the same assembled rows (or one), as one model with two scores.
 
-    Held-out rows, if there are any, are not learnt from but choose the number of rounds.
+    Held-out rows, if there are any, are not learnt from but choose the number of rounds. Both are fitted
+    in the same passes over the rows.
     """
-    stages = [assembler(features)]
-    for name, settings in ((FIRST, first), (SECOND, second)):
-        if settings is not None:
-            stages.append(_fit_patiently(
-                lambda name=name, **params: _named(
-                    GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, **params), name),
-                rows, settings, lambda model, held: model.evaluateEachIteration(held)))
-    return PipelineModel(stages)
+    settings = {name: s for name, s in ((FIRST, first), (SECOND, second)) if s is not None}
+    fitted = fit(rows, list(settings.values()), list(settings), FEATURES, LABEL, F.col(HELD_OUT))
+    return PipelineModel([assembler(features), *fitted])
 
 
 def fit_forest(
@@ -155,13 +89,13 @@ def fit_forest(
 
 
 def fit_ranker(
-    rows: DataFrame, features: Sequence[str], settings: Boosting = Boosting()
+    rows: DataFrame, features: Sequence[str], settings: Boosting = RANKER_BOOSTER, lists: Column | None = None
 ) -> PipelineModel:
-    """Pointwise ranker: boosted regression on the label, to be ordered within the customer."""
-    model = _fit_patiently(
-        lambda **params: GBTRegressor(
-            featuresCol=FEATURES, labelCol=LABEL, predictionCol=RANKER, **params),
-        rows, settings, lambda model, held: model.evaluateEachIteration(held, "squared"))
+    """Trees boosted for the order within a list (a customer's offers), or pointwise for the squared objective.
+
+    With held-out lists, training stops by their mean average precision.
+    """
+    (model,) = fit(rows, [settings], [RANKER], FEATURES, LABEL, F.col(HELD_OUT), lists)
     return PipelineModel([assembler(features), model])
 
 
@@ -179,13 +113,10 @@ def _transform(model: PipelineModel, df: DataFrame) -> DataFrame:
 def score_pair(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
     """Scores of the pair and their blend; the first alone if there is no second."""
     keep = [c for c in df.columns if c != FEATURES]
-    both = f"{SECOND}_probability" in [s.getOrDefault("probabilityCol") for s in model.stages[1:]]
-    second = probability(SECOND) if both else None
+    names = [s.name for s in model.stages[1:]]
     scored = _transform(model, df)
-    columns = [probability(FIRST).alias("first_score")]
-    if both:
-        columns.append(second.alias("second_score"))
-    return scored.select(*keep, *columns, blend(probability(FIRST), second).alias(name))
+    columns = [F.col(f"{n}_score") for n in names]
+    return scored.select(*keep, *columns, blend(*columns).alias(name))
 
 
 def score_forest(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
@@ -193,12 +124,11 @@ def score_forest(model: PipelineModel, df: DataFrame, name: str = "pred") -> Dat
 
 
 def score_ranker(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
-    return model.transform(df).select(*df.columns, F.col(RANKER).alias(name))
+    return model.transform(df).select(*df.columns, F.col(f"{RANKER}_score").alias(name))
 
 
 def importances(model: PipelineModel, features: Sequence[str], stage: int = 1) -> DataFrame:
-    """Gain importance of each feature of one of the model's stages."""
-    values = model.stages[stage].featureImportances.toArray().tolist()  # one per feature
-    return SparkSession.active().createDataFrame(
-        list(zip(features, values)), "feature string, importance double"
-    )
+    """Gain of each feature in one of the model's boosters, its share of all gain, and its splits."""
+    gains = model.stages[stage].gains(list(features))
+    total = gains.agg(F.sum("gain")).first()[0] or 1.0  # one row per feature
+    return gains.select("feature", "gain", "splits", (F.col("gain") / total).alias("importance"))

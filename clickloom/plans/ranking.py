@@ -12,15 +12,15 @@ from ..operators.encoders import LabelEncoder
 from ..operators.joins import HOT_ROWS
 from ..operators.ranking import with_rank_score
 from ..operators.selection import VarianceFilter
-from ..session import written
-from .models import Boosting, assembled, fit_ranker, score_ranker
+from ..session import discard, written
+from .models import RANKER_BOOSTER, Boosting, assembled, fit_ranker, score_ranker
 
 # Fixed values.
 ID_PREFIX = "id"
 ID_COLUMNS = ("id1", "id2", "id3", "id5")
 NULL_CLASS = "nan"
 FOLDS = 5
-ROUNDS, PATIENCE = 500, 40
+CUSTOMER = "_customer"
 
 
 def encode_jointly(
@@ -37,7 +37,7 @@ def rank_submission(
     train: DataFrame,
     test: DataFrame,
     label: str = "y",
-    settings: Boosting = Boosting(rounds=ROUNDS, patience=PATIENCE),
+    settings: Boosting = RANKER_BOOSTER,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """id1, id2, id3, id5 of the test rows and the score scaled within the customer."""
@@ -52,8 +52,11 @@ def rank_submission(
     kept = VarianceFilter().fit(train, numeric).kept
     train = train.fillna(0, subset=kept)
     test = align(test, kept, keep=ID_COLUMNS).fillna(0, subset=kept)
-    held_out = F.coalesce(fold_of(filled_text(F.col("id2"), NULL_CLASS), FOLDS) == 0, F.lit(False))
-    model = fit_ranker(assembled(train, kept, label, held_out), kept, settings)
+    customer = filled_text(F.col("id2"), NULL_CLASS)
+    held_out = F.coalesce(fold_of(customer, FOLDS) == 0, F.lit(False))
+    rows = assembled(train.withColumn(CUSTOMER, customer), kept, label, held_out, keep=[CUSTOMER])
+    model = fit_ranker(rows, kept, settings, F.col(CUSTOMER))
+    discard(rows)
     # read twice below, for the range per customer and for the rows: score once
     scored = written(score_ranker(model, test).select(*ID_COLUMNS, "pred"), "scores")
     ranked = with_rank_score(scored, hot_rows=hot_rows)
