@@ -64,6 +64,47 @@ LAST = """last as (
         from test t left join last l on t.id2 = l.id2 and t.id3 = l.id3)"""
 
 
+# One boosted tree of three leaves on features a, b, c, from rows with gradient g and curvature h.
+TREE = """
+    cells as (select *, unnest(['a', 'b', 'c']) as f, unnest([a, b, c]) as v from graded),
+    sums1 as (
+        select f, v, sum(sum(g)) over w as lg, sum(sum(h)) over w as lh, sum(count(*)) over w as ln,
+               sum(sum(g)) over p as wg, sum(sum(h)) over p as wh, sum(count(*)) over p as wn
+        from cells group by f, v window w as (partition by f order by v), p as (partition by f)),
+    split1 as (
+        select f, v, GAIN as gain from sums1 where ALLOWED order by gain desc, f, v limit 1),
+    sided as (
+        select r.*, case when (case s.f when 'a' then a when 'b' then b else c end) <= s.v then 0 else 1 end as side
+        from graded r, split1 s),
+    cells2 as (select *, unnest(['a', 'b', 'c']) as f, unnest([a, b, c]) as v from sided),
+    sums2 as (
+        select side, f, v, sum(sum(g)) over w as lg, sum(sum(h)) over w as lh, sum(count(*)) over w as ln,
+               sum(sum(g)) over p as wg, sum(sum(h)) over p as wh, sum(count(*)) over p as wn
+        from cells2 group by side, f, v
+        window w as (partition by side, f order by v), p as (partition by side, f)),
+    split2 as (
+        select side, f, v, GAIN as gain from sums2 where ALLOWED order by gain desc, side, f, v limit 1),
+    leaves as (
+        select r.*, case when r.side <> s.side then 2
+            when (case s.f when 'a' then a when 'b' then b else c end) <= s.v then 0 else 1 end as leaf
+        from sided r, split2 s),
+    weights as (select leaf, -sum(g) / (sum(h) + 1) as weight from leaves group by leaf)""".replace(
+    "GAIN", "lg * lg / (lh + 1) + (wg - lg) * (wg - lg) / (wh - lh + 1) - wg * wg / (wh + 1)").replace(
+    "ALLOWED", "ln >= 20 and wn - ln >= 20 and lh >= 1e-3 and wh - lh >= 1e-3")
+FEATURES_ABC = "id1, id2, y, id2 % 11 as a, id3 % 13 as b, hour(id4) as c"
+LOGISTIC = f"""graded as (
+        select {FEATURES_ABC}, m.p - y as g, m.p * (1 - m.p) as h, ln(m.p / (1 - m.p)) as base
+        from impressions, (select avg(y) as p from impressions) m),{TREE}"""
+# at equal scores a click's gradient is minus the share of the others, and the other way round
+LISTWISE = f"""lists as (
+        select id2 as customer, sum(y) as clicks, count(*) - sum(y) as others from impressions group by id2),
+    shares as (
+        select {FEATURES_ABC}, case when y = 1 then others else clicks end / (1 + clicks * others)::double as share
+        from impressions join lists on id2 = customer),
+    graded as (
+        select *, case when y = 1 then -share else share end as g, share * (1 - share) as h, 0 as base from shares),{TREE}"""
+
+
 def _build() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -265,12 +306,56 @@ def _build() -> dict[str, str]:
     add("csv_round_trip", ["impressions"], "select id1, id2, id3, id4, f1, y from impressions")
     add("dictionary_comments", [], """
         select 'f' || p_partkey as masked_column, p_name || ', "quoted"' as "Description",
-               'Numerical' as "Type" from part""")
+               'Numerical' as "Type",
+               case when p_partkey between 1 and 366 and p_partkey <> 218 then trim(p_name) || ', "quoted"' end as comment
+        from part""")
     add("bundle_round_trip", ["test"], "select id1, true as same from test")
     add("strict_timestamp", ["impressions"],
         "select id1, date_trunc('second', id4)::timestamp as parsed from impressions")
     add("target_choice", ["impressions"], 'select id1, 1 - y as "both", y as one from impressions')
-    add("sorted_rows", ["impressions"], "select id1, cast(id5 as varchar) as id5 from impressions")
+    add("sorted_rows", ["impressions"], """
+        select id1, cast(id5 as varchar) as id5, row_number() over (order by id5, id1) as position
+        from impressions""")
+    add("past_impressions_before", ["impressions"], """
+        select id1, id2, id3, coalesce(sum(seen) over (
+            partition by id2, id3 order by id4 range between unbounded preceding and interval 1 microsecond preceding),
+            0)::bigint as past_impression_count
+        from (select i.*, case when e.event_type in ('view', 'click') then 1 else 0 end as seen
+              from impressions i join events e on e.event_id = i.id1)""")
+    add("balanced_folds", ["impressions"], """
+        select i.id1, i.id2, g.fold from impressions i join (
+            select id2, cast((sum(n) over (order by n desc, id2) - n) * 5 // sum(n) over () as integer) as fold
+            from (select id2, count(*) as n from impressions group by id2)) g on g.id2 = i.id2""")
+    add("balanced_folds_large", ["impressions"], """
+        select i.id1, i.id2 * i.id2 % 7 as "group", p.fold
+        from impressions i join placed p on p.g = i.id2 * i.id2 % 7 where p.step > 0""", """
+    ranked as (
+        select g, n, row_number() over (order by n desc, g) as step from (
+            select id2 * id2 % 7 as g, count(*) as n from impressions group by 1)),
+    placed as (
+        select cast(0 as bigint) as step, cast(null as bigint) as g, -1 as fold, [0, 0, 0]::bigint[] as loads
+        union all
+        select r.step, r.g, cast(list_position(p.loads, list_min(p.loads)) - 1 as integer),
+               list_transform(p.loads, lambda x, i: case when i = list_position(p.loads, list_min(p.loads))
+                   then x + r.n else x end)
+        from placed p join ranked r on r.step = p.step + 1)""")
+    q["balanced_folds_large"] = q["balanced_folds_large"].replace("with ", "with recursive ", 1)
+    add("exact_split", ["impressions"], """
+        select id1, case when row_number() over (order by ('0x' || left(md5(id1 || ':42'), 8))::bigint, id1)
+            <= ceil(0.2 * count(*) over ()) then 'valid' else 'train' end as part from impressions""")
+    add("csv_types", ["impressions"], """
+        select id1, f1, y = 1 as flag, 'w' || id2 as word, case when id1 % 3 = 0 then id3 end as some
+        from impressions""")
+    add("template_by_position", ["scored"], """
+        select id1 as tag, id2, id3, round(first_score, 6) as pred, true as matched from scored""")
+    add("booster_tree", ["impressions"],
+        "select id1, round(base + weight, 5) as score from leaves join weights using (leaf)", LOGISTIC)
+    add("booster_gains", ["impressions"], """
+        select x.f as feature, round(coalesce(sum(s.gain), 0), 3) as gain, count(s.gain) as splits
+        from (select unnest(['a', 'b', 'c']) as f) x
+        left join (select f, gain from split1 union all select f, gain from split2) s on s.f = x.f group by x.f""", LOGISTIC)
+    add("ranker_tree", ["impressions"],
+        "select id1, round(base + weight, 6) as score from leaves join weights using (leaf)", LISTWISE)
     add("first_rows", ["scored"],
         "select id1, first_score from scored order by first_score desc, id1 limit 3")
     return q

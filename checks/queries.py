@@ -8,6 +8,8 @@ from functools import lru_cache, reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.boosting import fit as boosting
+from clickloom.boosting.objectives import LISTWISE
 from clickloom.functions.calendar import calendar_parts
 from clickloom.functions.offers import active_flag, discount_bucket as bucket_of
 from clickloom.functions.scores import blend, hard_label
@@ -16,11 +18,12 @@ from clickloom.functions.values import number, parse_timestamp as parse, strict_
 from clickloom.operators import aggregates, columns, joins, metrics, ranking, selection, splits
 from clickloom.operators.encoders import LabelEncoder
 from clickloom.operators.numeric_rule import NumericRule, number_shares
-from clickloom.operators.submission import format_submission, match_template
+from clickloom.operators.submission import format_submission, match_by_position, match_template
 from clickloom.plans import boosted, features, forest, models, ranking as rank_plan, training
 from clickloom.session import shared_folder, written
+from clickloom.sources import schemas
 from clickloom.sources.bundle import load_bundle, save_bundle
-from clickloom.sources.tables import read_csv, read_dictionary, read_parquet, write_csv
+from clickloom.sources.tables import read_csv, read_dictionary, read_parquet, with_comments, write_csv
 
 from . import views
 from .views import AS_OF
@@ -132,6 +135,16 @@ def past_impressions(spark, sf):
     )
 
 
+def past_impressions_before(spark, sf):
+    """Only events before an impression's own time count."""
+    rows = views.impressions(spark, sf)
+    events = views.table(spark, sf, "events").where(F.col("event_type").isin("view", "click")).select(
+        F.col("user_id").alias("id2"), F.get_json_object("props", "$.k").cast("bigint").alias("id3"), "ts")
+    counts = aggregates.impression_counts_before(rows, events)
+    return features.attach(rows, [features.Lookup(counts, ["id1"], features.COUNT_FILL)]).select(
+        "id1", "id2", "id3", "past_impression_count")
+
+
 def rfm_features(spark, sf):
     lookup = features.Lookup(
         aggregates.rfm(views.trans(spark, sf), AS_OF), ["id2"], features.RFM_FILL
@@ -218,6 +231,21 @@ def group_fold(spark, sf):
     return splits.with_group_fold(views.impressions(spark, sf)).select("id1", "id2", "fold")
 
 
+def balanced_folds(spark, sf):
+    return splits.with_balanced_fold(views.impressions(spark, sf)).select("id1", "id2", "fold")
+
+
+def balanced_folds_large(spark, sf):
+    """Seven groups, all large: the largest first, each into the emptiest of three folds."""
+    rows = views.impressions(spark, sf).select("id1", (F.col("id2") * F.col("id2") % 7).alias("group"))
+    return splits.with_balanced_fold(rows, "group", 3)
+
+
+def exact_split(spark, sf):
+    train, test = splits.exact_split(views.impressions(spark, sf), "id1", 0.2, 42)
+    return _labelled({"train": train, "valid": test})
+
+
 def temporal_split(spark, sf):
     before, after = splits.time_split(views.impressions(spark, sf), "id5", AS_OF.date())
     return _labelled({"train": before, "valid": after})
@@ -333,24 +361,54 @@ def _rounded_spending():
 
 
 @lru_cache(maxsize=4)
-def _bundle(spark, sf, pair=True):
+def _bundle(spark, sf):
     """The fitted boosters at the library's own settings; fitted once for the queries that use them."""
-    settings = {} if pair else {"second": None}
     bundle, rows = boosted.train(
-        views.impressions(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF, AS_OF,
-        **settings,
-    )
+        views.impressions(spark, sf), views.offers(spark, sf), views.trans(spark, sf), AS_OF, AS_OF)
     return bundle, written(rows, "scored")
 
 
+def _tree_rows(spark, sf):
+    """Whole-numbered features: few values each, so that bins are values."""
+    rows = views.impressions(spark, sf).select(
+        "id1", "id2", "y", (F.col("id2") % 11).alias("a"), (F.col("id3") % 13).alias("b"), F.hour("id4").alias("c"))
+    return models.assembled(rows, ["a", "b", "c"], "y", keep=["id1", "id2"])
+
+
+def _one_tree(spark, sf, objective, lists=None):
+    settings = boosting.Boosting(
+        rounds=1, leaves=3, rate=1.0, l2=1.0, feature_share=1.0, row_share=1.0, objective=objective)
+    rows = _tree_rows(spark, sf)
+    (model,) = boosting.fit(rows, [settings], ["tree"], lists=lists)
+    return model, rows
+
+
+def booster_tree(spark, sf):
+    """Scores after one round: two splits, the better leaf first, and their leaves' weights."""
+    model, rows = _one_tree(spark, sf, "logistic")
+    return model.transform(rows).select("id1", F.round("tree_raw", 5).alias("score"))
+
+
+def booster_gains(spark, sf):
+    """Gain and splits of every feature, from the nodes of that tree."""
+    model, _ = _one_tree(spark, sf, "logistic")
+    return model.gains(["a", "b", "c"]).select("feature", F.round("gain", 3).alias("gain"), "splits")
+
+
+def ranker_tree(spark, sf):
+    """Scores after one round of the listwise loss, with the offers of a customer as a list."""
+    model, rows = _one_tree(spark, sf, LISTWISE, F.col("id2"))
+    return model.transform(rows).select("id1", F.round("tree_score", 6).alias("score"))
+
+
 def _is_share(name):
     return F.col(name).between(0, 1)
 
 
 def gbt_scores(spark, sf):
     """Held-out rows with one score each. What scores must satisfy is a column; their values are not."""
-    _, scored = _bundle(spark, sf, False)
-    return scored.select("id1", "id2", "id3", "y", _is_share("pred").alias("in_range"))
+    _, scored = _bundle(spark, sf)
+    return scored.select("id1", "id2", "id3", "y", _is_share("first_score").alias("in_range"))
 
 
 def ensemble_scores(spark, sf):
@@ -363,7 +421,7 @@ def ensemble_scores(spark, sf):
 
 def top_importance(spark, sf):
     """Rank and order of the importances; all of them add up to one."""
-    bundle, _ = _bundle(spark, sf, False)
+    bundle, _ = _bundle(spark, sf)
     every = models.importances(bundle.model, bundle.features)
     top = ranking.top(every, "importance", 20, "feature")
     order = Window.orderBy(F.desc("importance"), "feature")  # twenty rows
@@ -470,11 +528,35 @@ def csv_round_trip(spark, sf):
 
 
 def dictionary_comments(spark, sf):
-    """Part names as a dictionary of descriptions, read back and attached as comments."""
+    """Part names as a dictionary of descriptions, attached to a table's columns and read from there."""
     rows = views.table(spark, sf, "part").select(
         F.concat(F.lit("f"), F.col("p_partkey")).alias("masked_column"),
         F.concat("p_name", F.lit(", \"quoted\"")).alias("Description"), F.lit("Numerical").alias("Type"))
-    return read_dictionary(spark, _stored(spark, rows, write_csv))
+    dictionary = read_dictionary(spark, _stored(spark, rows, write_csv))
+    table = with_comments(spark.createDataFrame([], schemas.impressions()), dictionary)
+    comments = spark.createDataFrame(
+        [(f.name, f.metadata["comment"]) for f in table.schema.fields if "comment" in f.metadata],
+        "masked_column string, comment string")
+    return dictionary.join(comments, "masked_column", "left")
+
+
+def csv_types(spark, sf):
+    """Types learnt from a CSV's text."""
+    df = views.impressions(spark, sf).select(
+        "id1", "f1", (F.col("y") == 1).alias("flag"), F.concat(F.lit("w"), "id2").alias("word"),
+        F.when(F.col("id1") % 3 == 0, F.col("id3")).alias("some"))
+    return read_csv(spark, _stored(spark, df, write_csv))
+
+
+def template_by_position(spark, sf):
+    """A template whose rows name no row id: each gets the score that stands at its own place."""
+    scored = views.scored(spark, sf).select("id1", "id2", "id3", F.col("first_score").alias("pred"))
+    parts = []
+    for df, files in ((scored.select(F.col("id1").alias("tag"), "id2", "id3"), 3), (scored.select("id1", "pred"), 5)):
+        first = df.columns[0]
+        df = df.repartitionByRange(files, first).sortWithinPartitions(first)
+        parts.append(read_csv(spark, _stored(spark, df, write_csv), position="_position"))
+    return match_by_position(*parts).withColumn("pred", F.round("pred", 6))
 
 
 def bundle_round_trip(spark, sf):
@@ -500,9 +582,9 @@ def target_choice(spark, sf):
 
 
 def sorted_rows(spark, sf):
-    """Rows in the order of their date; each is compared with the one before it in its partition."""
-    rows = splits.sorted_by_date(views.impressions(spark, sf), "id5")
-    return rows.select("id1", F.col("id5").cast("string").alias("id5"))
+    """Rows in the order of their date, each with its place in that order."""
+    rows = splits.numbered_by_date(views.impressions(spark, sf).select("id1", "id5"), "id5", "id1")
+    return rows.select("id1", F.col("id5").cast("string").alias("id5"), "position")
 
 
 def first_rows(spark, sf):
@@ -522,6 +604,8 @@ def all_queries() -> dict:
         submission_ids map_at_5 feature_table training_table gbt_scores ensemble_scores
         top_importance submission rf_scores ranker_scores join_collisions variance_with_nan
         numeric_rule_types infer_date_format template_by_row csv_round_trip dictionary_comments
-        bundle_round_trip strict_timestamp target_choice sorted_rows first_rows
+        bundle_round_trip strict_timestamp target_choice sorted_rows first_rows past_impressions_before
+        balanced_folds balanced_folds_large exact_split csv_types template_by_position booster_tree
+        booster_gains ranker_tree
     """.split()
     return {name: globals()[name] for name in names}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import days_between
 from ..functions.values import number, strict_timestamp, wall_clock
+from .running import running
 
 
 def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,6 +23,27 @@ def impression_counts(events: DataFrame, name: str = "past_impression_count") ->
     return _keyed(events, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def impression_counts_before(
+    impressions: DataFrame, events: DataFrame, at: str = "id4", event_at: str = "ts", row: str = "id1",
+    name: str = "past_impression_count",
+) -> DataFrame:
+    """``(row, name)``: events of an impression's customer and offer before its own time.
+
+    Events and impressions, keys and times only, are merged in one range sort with running totals, so a pair
+    of customer and offer with very many rows is no single task. Events at the very time do not count, nor do
+    events without time; an impression without key or time has none. ``row`` must be unique.
+    """
+    keys = ["id2", "id3"]
+    # at one time impressions come first: "before" excludes events of that time
+    asked = impressions.dropna(subset=[*keys, at, row]).select(
+        *keys, F.col(at).alias("_at"), F.lit(0).alias("_event"), F.col(row).alias(row))
+    there = events.dropna(subset=[*keys, event_at]).select(
+        *keys, F.col(event_at).cast(asked.schema["_at"].dataType).alias("_at"), F.lit(1).alias("_event"),
+        F.lit(None).cast(asked.schema[row].dataType).alias(row))
+    merged = running(asked.unionByName(there), keys, ["_at", "_event"], {name: F.col("_event")})
+    return merged.where(F.col("_event") == 0).select(row, name)
+
+
 def rfm(
     trans: DataFrame, as_of: datetime, amount: str = "f367", time: str = "f370"
 ) -> DataFrame:

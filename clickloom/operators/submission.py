@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import filled_text, key_long, parse_timestamp
+from ..session import written
 from .columns import all_zero
 from .joins import HOT_ROWS, spread_join
 from .ranking import last_per_key
+from .running import running
 
 # Parts of a rebuilt row id and the date of a row without one.
 ID_SLOT = "16-23_2023-11-05"
@@ -83,3 +85,37 @@ def match_template(
         .withColumn("pred", F.when(found, F.col("pred")).otherwise(F.lit(default)))
         .withColumn("matched", found)
     )
+
+
+def row_numbers(df: DataFrame, position: str, name: str) -> DataFrame:
+    """Each row's number (from 0) in its table's files, taken in the order of their names.
+
+    ``position`` is the column that ``read_csv`` and ``read_parquet`` add: file, start of the block, row. Rows of a
+    block are read one after the other, so a block needs only its first row and the rows of the
+    blocks before it: one row per block, and no sort of the table.
+    """
+    made = written(df, "numbered")  # read twice, and the rows' marks must be the same
+    block = [F.col(f"{position}.{f}").alias(f"_{f}") for f in ("file_path", "file_block_start")]
+    row = F.col(f"{position}.row")
+    blocks = made.groupBy(*block).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    upto = running(blocks, [], ["_file_path", "_file_block_start"], {"_upto": F.col("_n")}).select(
+        "_file_path", "_file_block_start", "_first", (F.col("_upto") - F.col("_n")).alias("_before"))
+    keyed = made.select("*", *block)
+    return keyed.join(upto, ["_file_path", "_file_block_start"]).select(
+        *[c for c in df.columns if c != name], (F.col("_before") + row - F.col("_first")).alias(name))
+
+
+def match_by_position(
+    template: DataFrame, predictions: DataFrame, position: str = "_position", default: float = 0.0
+) -> DataFrame:
+    """Every template row with the prediction that stands at the same place of its files, else ``default``.
+
+    For templates without row ids, in which a customer and offer may come several times.
+    """
+    rows = row_numbers(template.drop("pred", "matched"), position, "_number")
+    scores = row_numbers(predictions.select("pred", position), position, "_number").select(
+        "_number", F.col("pred").cast("double").alias("pred"), F.lit(True).alias("matched"))
+    met = rows.join(scores, "_number", "left")
+    found = F.coalesce("matched", F.lit(False))
+    return met.withColumn("pred", F.when(found, F.col("pred")).otherwise(F.lit(default))).withColumn(
+        "matched", found).drop("_number", position)
