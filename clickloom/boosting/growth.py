@@ -28,7 +28,7 @@ from .objectives import gradients
 
 PARTIAL = "model int, leaf int, feature int, bin int, g long, h long, n long"
 NAMES = ["model", "leaf", "feature", "bin", "g", "h", "n"]
-SMALL = 32_768  # rows of a leaf that one task finishes
+SMALL = 65_536  # rows of a leaf that one task finishes
 LOSS = -1  # the leaf number of rows that carry a held-out loss
 
 
