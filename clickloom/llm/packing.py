@@ -129,12 +129,13 @@ def projection() -> np.ndarray:
     return (2.0 * signs - 1) / np.sqrt(BINS)
 
 
-def point(ids: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """The cell of a document in the grid: DIMS numbers of BITS bits."""
+def points(ids: np.ndarray, lengths: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """The cells of documents in the grid, DIMS numbers of BITS bits each; ``ids`` holds them one after the other."""
     bins = (ids.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
-    vector = np.sqrt(np.bincount(bins, minlength=BINS))
-    vector = vector / max(np.linalg.norm(vector), 1e-12)
-    spread = vector @ signs * np.sqrt(BINS)  # each about normal
+    at = np.repeat(np.arange(len(lengths)) * BINS, lengths)
+    vectors = np.sqrt(np.bincount(at + bins, minlength=len(lengths) * BINS)).reshape(-1, BINS)
+    vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
+    spread = vectors @ signs * np.sqrt(BINS)  # each about normal
     share = 1 / (1 + np.exp(-1.7 * spread))
     return np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
@@ -176,9 +177,10 @@ def tokenize(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         words, signs, end = Words(path), projection(), np.array([END], "<u2").tobytes()
         for batch in slices(batches):
             ids = [words.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            cells = np.array([point(np.frombuffer(i, "<u2"), signs) for i in ids])
+            lengths = np.array([len(i) // 2 for i in ids], np.int64)
+            cells = points(np.frombuffer(b"".join(ids), "<u2"), lengths, signs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 2 for i in ids], pa.int64()),
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(lengths),
                  pa.array(hilbert(cells), pa.int64())], ["doc_id", "ids", "n", "key"])
 
     cells = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -218,34 +220,36 @@ def _by_part():
     return Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterator[pa.RecordBatch], length: int, keep_ids: bool = True) -> Iterator[pa.RecordBatch]:
     """Pieces of documents: cut where a sequence ends."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     for batch in slices(batches):
-        out = []
+        out, ids = [], []
         for doc, raw, first in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            ids = np.frombuffer(raw, "<u2").astype("<u4")
-            at = 0
-            while at < len(ids):
+            wide = np.frombuffer(raw, "<u2").astype("<u4")
+            n, at = len(wide), 0
+            while at < n:
                 sequence, offset = divmod(first + at, length)
-                piece = ids[at:at + length - offset]
-                out.append((doc, at, len(piece), zlib.crc32(piece.tobytes()), len(ids),
-                            sequence, offset, piece.tolist()))
+                piece = wide[at:at + length - offset]
+                out.append((doc, at, len(piece), zlib.crc32(piece), n, sequence, offset))
+                if keep_ids:
+                    ids.append(piece)
                 at += len(piece)
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        columns = list(zip(*out)) or [()] * 8
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns[:7]]
-            + [pa.array(columns[7], pa.list_(pa.int32()))], [*names, "ids"])
+        columns = [pa.array(c, pa.int64()) for c in (list(zip(*out)) or [()] * len(names))]
+        if keep_ids:
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            values = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
+        yield pa.RecordBatch.from_arrays(columns, [*names, "ids"] if keep_ids else names)
 
 
-def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH,
-         text: str = "text") -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``."""
+def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, text: str = "text",
+         keep_ids: bool = True) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and ``ids``, if kept."""
     path = path or default_tokenizer()
     numbered = tokenize(docs, path, text).withColumn("row", F.monotonically_increasing_id())
     tokens = written(numbered, "tokens")
     joined = tokens.select("row", "doc_id", "ids").join(starts(tokens), "row")
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return joined.select("doc_id", "ids", "first").mapInArrow(
-        lambda batches: cut(batches, length),
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-        "sequence_id long, offset long, ids array<int>")
+        lambda batches: cut(batches, length, keep_ids), f"{schema}, ids array<int>" if keep_ids else schema)

@@ -13,7 +13,11 @@ rests on enough texts. A limit is the upper quartile plus a multiple of the quar
 distance is at least ``Rule.spread``, so that a group in which a measure hardly varies does not
 reject ordinary texts. ``judge`` joins the limits and decides.
 
-Defined results: missing text counts as empty and fails the base rules; missing language or source
+Limits are written once: KLL sketches of more values than they hold make random choices, so limits made anew could
+differ in the last places (rank error about 0.5 %), and with them ``kept``. ``limit_level`` tells whether a
+group's limits rest on itself, its language or the whole table.
+
+Defined results: if no text passes the base rules there are no limits, and none is kept; missing text counts as empty and fails the base rules; missing language or source
 is a group of its own; repeated rows each get a result; an empty table gives an empty table. Extra
 columns pass through unchanged unless they bear the name of a result column, which replaces them.
 """
@@ -67,45 +71,45 @@ SKETCH_K = 400  # size of a sketch: rank error about 0.5 %
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the base counts (long) and ``base_failed``."""
-    out = docs.withColumn("_words", words_of(text_of(text)))
-    out = out.withColumn("_hash", F.transform("_words", lambda w: F.xxhash64(w)))
-    out = out.withColumn("_keys", F.transform(
-        F.slice("_hash", 1, F.greatest(F.size("_hash") - 2, F.lit(0))),
-        lambda h, i: F.xxhash64(h, F.get("_hash", i + 1), F.get("_hash", i + 2))))
+    out = docs.drop(*COUNTS, "base_failed").withColumn("__q_words", words_of(text_of(text)))
+    out = out.withColumn("__q_hash", F.transform("__q_words", lambda w: F.xxhash64(w)))
+    out = out.withColumn("__q_keys", F.transform(
+        F.slice("__q_hash", 1, F.greatest(F.size("__q_hash") - 2, F.lit(0))),
+        lambda h, i: F.xxhash64(h, F.get("__q_hash", i + 1), F.get("__q_hash", i + 2))))
     # most texts repeat no window; only the others are sorted
-    out = out.withColumn("_sorted", F.when(
-        F.size("_keys") > F.size(F.array_distinct("_keys")),
-        F.sort_array(F.transform("_keys", lambda k, i: F.struct(k.alias("k"), i.alias("i"))))))
-    same = lambda x, j: F.coalesce(x["k"] == F.get("_sorted", j)["k"], F.lit(False))
-    out = out.withColumn("_at", F.sort_array(F.filter(
-        F.transform("_sorted", lambda x, j: F.when(same(x, j - 1) | same(x, j + 1), x["i"])),
+    out = out.withColumn("__q_sorted", F.when(
+        F.size("__q_keys") > F.size(F.array_distinct("__q_keys")),
+        F.sort_array(F.transform("__q_keys", lambda k, i: F.struct(k.alias("k"), i.alias("i"))))))
+    same = lambda x, j: F.coalesce(x["k"] == F.get("__q_sorted", j)["k"], F.lit(False))
+    out = out.withColumn("__q_at", F.sort_array(F.filter(
+        F.transform("__q_sorted", lambda x, j: F.when(same(x, j - 1) | same(x, j + 1), x["i"])),
         lambda i: i.isNotNull())))
     # a window covers three words, fewer where the next repeated window begins inside it
     covered = F.aggregate(
-        F.transform("_at", lambda i, j: F.least(F.lit(3), F.get("_at", j + 1) - i)),
+        F.transform("__q_at", lambda i, j: F.least(F.lit(3), F.get("__q_at", j + 1) - i)),
         F.lit(0), lambda a, b: a + b)
     lines = F.filter(F.split(text_of(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = out.withColumn("_lines", lines)
+    out = out.withColumn("__q_lines", lines)
     counts = {
-        "n_words": F.size("_words"),
-        "word_chars": F.aggregate("_words", F.lit(0), lambda a, w: a + F.char_length(w)),
+        "n_words": F.size("__q_words"),
+        "word_chars": F.aggregate("__q_words", F.lit(0), lambda a, w: a + F.char_length(w)),
         "n_symbols": F.char_length(F.regexp_replace(text_of(text), f"[^{SYMBOLS}]+", "")),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_dup_lines": F.size("__q_lines") - F.size(F.array_distinct("__q_lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
     }
     out = out.withColumns({name: c.cast("long") for name, c in counts.items()})
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     return out.withColumn("base_failed", failed).drop(
-        "_words", "_hash", "_keys", "_sorted", "_at", "_lines")
+        "__q_words", "__q_hash", "__q_keys", "__q_sorted", "__q_at", "__q_lines")
 
 
 def _group(names=GROUP) -> list[Column]:
-    return [F.coalesce(F.col(n).cast("string"), F.lit("\0")).alias(f"_{n}") for n in names]
+    return [F.coalesce(F.col(n).cast("string"), F.lit("\0")).alias(f"__q_{n}") for n in names]
 
 
 def thresholds(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per (language, source) with a ``limit_<rule>`` each.
+    """One row per (language, source) with a limit for each rule.
 
     Only texts that pass the base rules are sketched. Grouping shrinks on the map side: a task
     sends one sketch per group, however many rows the group has.
@@ -113,37 +117,40 @@ def thresholds(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) ->
     # a filter would be pushed below the counts and compute them once more: nulls do the same
     good = measured.select(*_group(), *[
         F.when(~F.col("base_failed"), r.measure).alias(r.name) for r in rules])
-    per_group = good.groupBy("_lang", "_source").agg(
+    per_group = good.groupBy("__q_lang", "__q_source").agg(
         F.count(rules[0].name).alias("n"),
         *[F.kll_sketch_agg_double(r.name, SKETCH_K).alias(r.name) for r in rules])
     merged = [F.kll_merge_agg_double(r.name, SKETCH_K).alias(f"{r.name}_all") for r in rules]
-    per_lang = per_group.groupBy("_lang").agg(F.sum("n").alias("n_lang"), *merged)
-    whole = per_lang.agg(*[
+    per_lang = per_group.groupBy("__q_lang").agg(F.sum("n").alias("n_lang"), *merged)
+    whole = per_lang.agg(F.sum("n_lang").alias("n_whole"), *[
         F.kll_merge_agg_double(f"{r.name}_all", SKETCH_K).alias(f"{r.name}_whole") for r in rules])
-    joined = per_group.join(per_lang, "_lang").crossJoin(F.broadcast(whole))  # whole: one row
+    joined = per_group.join(per_lang, "__q_lang").crossJoin(F.broadcast(whole))  # whole: one row
 
     def limit(r: Rule) -> Column:
         sketch = (F.when(F.col("n") >= min_group, F.col(r.name))
                   .when(F.col("n_lang") >= min_group, F.col(f"{r.name}_all"))
                   .otherwise(F.col(f"{r.name}_whole")))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        return (high + r.factor * F.greatest(high - low, F.lit(r.spread))).alias(f"limit_{r.name}")
+        # an empty sketch has no quantile: asking for one is an error
+        low, high = (F.when(F.col("n_whole") > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q))) for q in (0.25, 0.75))
+        return (high + r.factor * F.greatest(high - low, F.lit(r.spread))).alias(f"__q_limit_{r.name}")
 
-    return joined.select("_lang", "_source", *[limit(r) for r in rules])
+    level = (F.when(F.col("n") >= min_group, "group").when(F.col("n_lang") >= min_group, "language")
+             .when(F.col("n_whole") > 0, "table"))
+    return joined.select("__q_lang", "__q_source", *[limit(r) for r in rules], level.alias("limit_level"))
 
 
 def judge(measured: DataFrame, limits: DataFrame, rules=RULES) -> DataFrame:
-    """Add ``kept``: false if the base rules fail or a measure is above its group's limit.
+    """Add ``kept`` and ``limit_level``: false if the base rules fail or a measure is above its group's limit.
 
     A group without limits has no text that passes the base rules.
     """
-    keyed = measured.withColumns(dict(zip(("_lang", "_source"), _group())))
+    keyed = measured.drop("kept", "limit_level").withColumns(dict(zip(("__q_lang", "__q_source"), _group())))
     passed = ~F.col("base_failed")
     for r in rules:
-        passed = passed & (r.measure <= F.col(f"limit_{r.name}"))
-    return (keyed.join(limits, ["_lang", "_source"], "left")
+        passed = passed & (r.measure <= F.col(f"__q_limit_{r.name}"))
+    return (keyed.join(limits, ["__q_lang", "__q_source"], "left")
             .withColumn("kept", F.coalesce(passed, F.lit(False)))
-            .drop("_lang", "_source", *[f"limit_{r.name}" for r in rules]))
+            .drop("__q_lang", "__q_source", *[f"__q_limit_{r.name}" for r in rules]))
 
 
 def rate(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -156,4 +163,4 @@ def rate(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFra
     if not keep_text:
         measured = measured.drop(text)
     measured = written(measured, "quality")
-    return judge(measured, thresholds(measured))
+    return judge(measured, written(thresholds(measured), "limits"))

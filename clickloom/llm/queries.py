@@ -25,7 +25,7 @@ def query(f):
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.rate(docs, keep_text=False).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+    return quality.rate(docs, keep_text=False).select("doc_id", *quality.COUNTS, "base_failed", "kept", "limit_level")
 
 
 @query
@@ -55,7 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
 @query

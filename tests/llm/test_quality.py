@@ -48,3 +48,48 @@ def test_clashing_column_is_replaced(docs_of, prose):
     df = docs_of(prose(4, 60)).withColumn("kept", quality.F.lit("mine")).withColumn("n_words", quality.F.lit(-1))
     (row,) = quality.rate(df).collect()
     assert row["kept"] is True and row["n_words"] == 60
+
+
+def test_no_text_passes_the_base_rules(docs_of):
+    (row,) = quality.rate(docs_of("a short text")).collect()
+    assert row["kept"] is False and row["limit_level"] is None
+
+
+def test_limits_do_not_change_between_reads(spark, docs_of, prose):
+    many = docs_of(prose(5, 60)).select("text", "lang", "source").crossJoin(spark.range(3000)).select(
+        quality.F.col("id").alias("doc_id"),
+        quality.F.concat("text", quality.F.lit(" #"), quality.F.repeat(quality.F.lit("# "), (quality.F.col("id") % 40).cast("int"))).alias("text"),
+        "lang", "source")
+    rated = quality.rate(many)
+    assert rated.select("doc_id", "kept").exceptAll(rated.select("doc_id", "kept")).isEmpty()
+    assert {r["limit_level"] for r in rated.select("limit_level").distinct().collect()} == {"group"}
+
+
+def test_columns_named_like_helpers_pass_through(docs_of, prose):
+    names = ["_lang", "_words", "limit_word_length", "_at", "n"]
+    df = docs_of(prose(6, 60)).withColumns({n: quality.F.lit(n) for n in names})
+    (row,) = quality.rate(df).collect()
+    assert [row[n] for n in names] == names and row["kept"] is True
+
+
+def brute_limits(rows):
+    """Limits of one group by exact quartiles: what the sketch gives while it holds every value."""
+    import math
+
+    out = {}
+    for rule, measure in (("symbols_per_word", 2), ("repeat_share", 4), ("dup_lines_per_word", 3), ("word_length", 1)):
+        values = sorted(r[measure] / r[0] for r in rows)
+        low, high = (values[max(math.ceil(q * len(values)) - 1, 0)] for q in (0.25, 0.75))
+        spread = next(r.spread for r in quality.RULES if r.name == rule)
+        out[measure] = high + 3 * max(high - low, spread)
+    return out
+
+
+def test_kept_matches_brute_force(docs_of, prose):
+    texts = [prose(i, 60 + i % 7) + " #" * (i % 23) for i in range(90)]
+    rows = {i: brute(t) for i, t in enumerate(texts)}
+    passing = {i: r for i, r in rows.items() if r[0] >= 50 and 100 * r[4] <= 50 * r[0]}
+    limits = brute_limits(list(passing.values()))
+    expected = {i for i, r in passing.items() if all(r[m] / r[0] <= limits[m] for m in limits)}
+    got = {r["doc_id"] for r in quality.rate(docs_of(*texts)).collect() if r["kept"]}
+    assert got == expected and 0 < len(got)
