@@ -1,22 +1,27 @@
-"""SentencePiece encoding and decoding of whole texts, by a lattice of pieces per word.
+"""SentencePiece encoding and decoding of whole texts, by a relational lattice of pieces.
 
-Text is written with a mark for every blank and one in front, and cut before the marks; no piece
-worth using reaches over one. In each word, the pieces that start at a place are found by growing a
-substring while some piece still begins with it, and the path with the largest sum of scores is kept
-for each end (Viterbi). Scores are held for one stretch of a word at a time, and only those that a piece can
-still reach go on to the next; of all ends, a word keeps the length of the piece that reached them,
-and walks back over those. The cost of a word is thus its length
-times the longest piece, and its memory a few bytes a character, whatever the text is made of.
+Text is written with a mark for every blank and one in front, and cut before the marks, and where letters meet other
+characters if no piece of the model holds both (``cutting`` looks): no piece worth using reaches over a cut, so
+each run of characters has a path of its own.
+
+1. The different runs of all texts are counted; each is worked on once, however often it occurs.
+2. ``lattice``: every run is exploded into its substrings of bounded length, these meet the piece table by an
+   equi-join (the table is as large as the model, and broadcast), the pieces found are grouped by run, as edges in the
+   order of their ends, and a higher-order aggregate folds them: it keeps the best score of each end
+   (Viterbi) and the piece that reached it, and walks back over those. The runs stay where the count put them.
+3. Texts meet their runs: the ``HEAD`` most frequent runs travel with the tasks; the others are joined by run to
+   the texts that hold them, and a text gathers its own. A run that half of all texts hold is in the head.
 
 A character without a piece is spelt in bytes, and so is a mark that stands in the text itself, so
 that decoding can tell it from a blank. The best path under the scores of the file is what a unigram
 model of these pieces gives; files trained for merges (BPE) are read the same way, so their
 segmentation follows the scores and not the order of merges. Ties go to the longer last piece.
 
-Decoding joins the bytes of all pieces of a text and takes the first blank off.
+Runs of more than ``LONG`` characters (text without blanks) would make edges without bound. They are rare and go
+through the same recurrence where they stand, a stretch at a time: only scores that a piece can still reach
+go on to the next one (``Encoder``).
 
-Rows are independent and are never shuffled; a task keeps the ids of ``HEAD`` words at hand, twice that at most. The
-tables of the model are as large as its file, whatever the data, and travel with the tasks.
+Decoding joins the bytes of all pieces of a text and takes a leading blank off.
 
 Defined results: missing and empty texts have no pieces, and no pieces are an empty text; ids that
 are no text (controls, unknown ones) decode to nothing; missing ids decode to a missing text;
@@ -35,11 +40,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread_join
+from ..session import written
 from .text import text_of
 
 MARK = "▁"  # stands for a blank
-HEAD = 100_000  # words whose ids a task keeps at hand, and as many of the time before
-KEPT_LENGTH = 64  # longer words are not kept
+HEAD = 400_000  # runs whose ids travel with the tasks
+LONG = 64  # characters of a run that becomes rows
 STRETCH = 1024  # characters of a word after which only the scores still in reach go on
 UNKNOWN_MARGIN = 10.0  # below the least score
 LEAST_USED = -1e8  # longer pieces at or below this score are never taken
@@ -75,12 +82,88 @@ def marked_words(text: Column) -> Column:
     return F.when(text == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(text, " ", -1))
 
 
+def cutting(pieces: list[tuple[str, int, float]]) -> str:
+    """A pattern of the runs of a text with a blank in front. A mark of the text itself is a run."""
+    import regex
+
+    mixed = regex.compile(rf"[\p{{L}}\p{{M}}][^\p{{L}}\p{{M}}]|[^\p{{L}}\p{{M}}{MARK}][\p{{L}}\p{{M}}]")
+    if any(mixed.search(piece) for piece, _, _ in pieces):
+        return f" ?[^ {MARK}]+| |{MARK}"
+    return rf" ?[\p{{L}}\p{{M}}]+| ?[^\p{{L}}\p{{M}} {MARK}]+| |{MARK}"
+
+
+def runs_of(text: Column, pattern: str) -> Column:
+    whole = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(pattern), F.lit(0))
+    return F.when(text == "", F.expr("cast(array() as array<string>)")).otherwise(whole)
+
+
+# Edges come in the order of their ends. ``best`` and ``took`` have an entry per end that is settled; ``score``
+# and ``last`` are the best of the end at hand, ``took`` holds length and id of a piece in one number.
+FOLD = """
+    aggregate(edges, named_struct('best', cast(array() as array<double>), 'took', cast(array() as array<bigint>),
+                                  'at', 0, 'score', 0d, 'last', 0L),
+      (a, x) -> if(x.e = a.at,
+        if(a.best[x.e - x.l] + x.score >= a.score,
+          named_struct('best', a.best, 'took', a.took, 'at', a.at, 'score', a.best[x.e - x.l] + x.score, 'last', x.last), a),
+        named_struct('best', array_append(a.best, a.score), 'took', array_append(a.took, a.last), 'at', x.e,
+          'score', array_append(a.best, a.score)[x.e - x.l] + x.score, 'last', x.last)),
+      a -> array_append(a.took, a.last))"""
+WALK = """
+    aggregate(reverse(took), named_struct('next', size(took) - 1, 'at', size(took) - 1, 'path', cast(array() as array<bigint>)),
+      (b, t) -> if(b.at = b.next and b.at > 0,
+        named_struct('next', b.next - cast(shiftright(t, 32) as int), 'at', b.at - 1, 'path', array_append(b.path, t)),
+        named_struct('next', b.next, 'at', b.at - 1, 'path', b.path)), b -> reverse(b.path))"""
+
+
+def lattice(runs: DataFrame, pieces: list[tuple[str, int, float]]) -> DataFrame:
+    """``(run, n, path)``: the best path of each different run, as length and id of its pieces.
+
+    An id of -1 is a character without piece. ``runs`` must be dealt by run: nothing here is shuffled.
+    """
+    spark = runs.sparkSession
+    longest = max(len(piece) for piece, _, _ in pieces)
+    unknown = min(score for _, _, score in pieces) - UNKNOWN_MARGIN
+    table = spark.createDataFrame(pieces, "piece string, id int, score double").groupBy("piece").agg(
+        F.min("id").alias("id"), F.max("score").alias("score"))
+    marked = runs.select("run", "n", F.replace("run", F.lit(" "), F.lit(MARK)).alias("marked"))
+    starts = marked.select("run", "n", "marked", F.explode(F.sequence(F.lit(1), F.char_length("marked"))).alias("s"))
+    room = F.least(F.lit(longest), F.char_length("marked") - F.col("s") + 1)
+    parts = starts.select("run", "n", "marked", "s", F.explode(F.sequence(F.lit(1), room)).alias("l")).select(
+        "run", "n", (F.col("s") + F.col("l") - 1).alias("e"), "l", F.expr("substring(marked, s, l)").alias("piece"))
+    met = parts.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("l") == 1))
+    last = F.shiftleft(F.col("l").cast("long"), 32) + F.coalesce("id", F.lit(-1)) + 1
+    edges = met.groupBy("run", "n").agg(F.sort_array(F.collect_list(F.struct(
+        "e", "l", F.coalesce("score", F.lit(unknown)).alias("score"), last.alias("last")))).alias("edges"))
+    return edges.select("run", "n", F.expr(FOLD).alias("took")).select("run", "n", F.expr(WALK).alias("path"))
+
+
+def spelt(path: Column, run: Column, bytes_: list[int]) -> Column:
+    """The ids of a path; characters without piece as the ids of their bytes."""
+    codes = F.array(*map(F.lit, bytes_))
+    ends = F.transform(path, lambda t, i: F.aggregate(
+        F.slice(path, 1, i), F.lit(1), lambda a, x: a + F.shiftright(x, 32).cast("int")))
+
+    def ids(t: Column, i: Column) -> Column:
+        own = (t.bitwiseAND(2**32 - 1) - 1).cast("int")
+        raw = F.hex(F.encode(F.substring(run, F.get(ends, i), F.lit(1)), "utf-8"))
+        by_byte = F.transform(F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda j: F.element_at(
+            codes, F.conv(F.substring(raw, j, F.lit(2)), 16, 10).cast("int") + 1))
+        return F.when(own >= 0, F.array(own)).otherwise(by_byte)
+
+    plain = F.transform(path, lambda t: (t.bitwiseAND(2**32 - 1) - 1).cast("int"))
+    return F.when(F.exists(plain, lambda x: x < 0), F.flatten(F.transform(path, ids))).otherwise(plain)
+
+
 class Encoder:
-    """Ids of texts, as bytes of 32-bit numbers."""
+    """Ids of texts, as bytes of 32-bit numbers, from known runs; long runs are worked out here."""
+
+    def __init__(self, pieces: list[tuple[str, int, float]], bytes_: list[int], head: dict[str, bytes], pattern: str) -> None:
+        import regex
 
-    def __init__(self, pieces: list[tuple[str, int, float]], bytes_: list[int], head: int) -> None:
-        self.ids = {piece: i for piece, i, _ in pieces}
-        self.bytes, self.head = bytes_, head
+        self.ids = {}
+        for piece, i, _ in sorted(pieces, reverse=True):
+            self.ids[piece] = i
+        self.bytes, self.head, self.runs = bytes_, head, regex.compile(pattern).findall
         self.longest = max(len(piece) for piece in self.ids)
         self.unknown = min(score for _, _, score in pieces) - UNKNOWN_MARGIN
         # by character: the same for the next one, and the score, None for what only begins a piece
@@ -90,31 +173,21 @@ class Encoder:
             for char in piece[:-1]:
                 at = at.setdefault(char, [{}, None])[0]
             at.setdefault(piece[-1], [{}, None])[1] = score
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def text(self, text: str) -> bytes:
-        return b"".join(map(self.word, text.split(" "))) if text else b""
-
-    def word(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            found = self.before.get(word)
-            if found is None:
-                found = self._new(word)
-            if len(word) <= KEPT_LENGTH:
-                if len(self.known) >= self.head:
-                    self.before, self.known = self.known, {}
-                self.known[word] = found
-        return found
-
-    def _new(self, word: str) -> bytes:
-        first, *rest = word.split(MARK)
-        ids = self.path(MARK + first)
-        for part in rest:
-            ids.extend(self._spelt(MARK))
-            ids.extend(self.path(part))
-        return ids.tobytes()
+
+    def text(self, text: str, more: dict[str, bytes]) -> bytes:
+        if not text:
+            return b""
+        runs, head = self.runs(" " + text), self.head
+        try:
+            return b"".join([head[r] for r in runs])
+        except KeyError:
+            pass
+        return b"".join([head[r] if r in head else more[r] if r in more else self._new(r) for r in runs])
+
+    def _new(self, run: str) -> bytes:
+        if run == MARK:
+            return array("i", self._spelt(MARK)).tobytes()
+        return self.path(run.replace(" ", MARK)).tobytes()
 
     def _spelt(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode("utf-8", "replace")]
@@ -166,23 +239,59 @@ class Decoder(dict):
         return b""
 
     def text(self, ids: list[int]) -> str:
-        return b"".join(map(self.__getitem__, ids))[1:].decode("utf-8", "replace")
+        return b"".join(map(self.__getitem__, ids)).removeprefix(b" ").decode("utf-8", "replace")
+
+
+def encoded_runs(docs: DataFrame, pieces: list, bytes_: list[int], pattern: str, text: str) -> DataFrame:
+    """``(run, n, ids)`` of all different runs of at most ``LONG`` characters; ``ids`` as bytes."""
+    every = docs.select(F.explode(runs_of(text_of(text), pattern)).alias("run")).where(
+        (F.char_length("run") <= LONG) & (F.col("run") != MARK))
+    counted = every.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    path = lattice(counted, pieces)
+    ids = path.select("run", "n", spelt(F.col("path"), F.col("run"), bytes_).alias("ids"))
+    return written(ids, "runs")
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the ids of each text, in order."""
-    pieces, bytes_, head = piece_table(model), byte_ids(model), HEAD
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(pieces, bytes_, head)
-        for texts in batches:
-            coded = [encoder.text(t.as_py()) for t in texts]
+    pieces, bytes_ = piece_table(model), byte_ids(model)
+    pattern = cutting(pieces)
+    table = encoded_runs(docs, pieces, bytes_, pattern, text)
+    top = table.orderBy(F.desc("n"), "run").limit(HEAD)
+    head = {r["run"]: array("i", r["ids"]).tobytes() for r in top.select("run", "ids").toLocalIterator()}
+    shared = docs.sparkSession.sparkContext.broadcast(head)  # ``HEAD`` runs of ``LONG`` characters at most
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        encoder = Encoder(pieces, bytes_, shared.value, pattern)
+        for texts, runs, lists in batches:
+            coded = []
+            for t, r, ids in zip(texts, runs, lists):
+                more = dict(zip(r.as_py(), (array("i", i).tobytes() for i in ids.as_py()))) if r.is_valid else {}
+                coded.append(encoder.text(t.as_py(), more))
             offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int64)
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
             yield pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
-    ids = F.arrow_udf(run, "array<int>")(text_of(text))
-    return docs.drop("ids").withColumn("ids", ids) if text != "ids" else docs.withColumn("ids", ids)
+    # a text is known by two hashes: copies of it share what they need
+    whole = text_of(text)
+    keys = {"__h1": F.xxhash64(whole), "__h2": F.xxhash64(F.lit("second"), whole)}
+    keyed = docs.withColumns(keys)
+    known = spark_table(docs, list(head))
+    wanted = keyed.select("__h1", "__h2", F.explode(F.array_distinct(runs_of(whole, pattern))).alias("run")).where(
+        (F.char_length("run") <= LONG) & (F.col("run") != MARK)).join(F.broadcast(known), "run", "left_anti").distinct()
+    rare = wanted.join(table.select("run", "ids"), "run").groupBy("__h1", "__h2").agg(
+        F.collect_list(F.struct("run", "ids")).alias("__rare"))
+    joined = spread_join(keyed, rare, ["__h1", "__h2"])  # copies of one text may be a third of all rows
+    ids = F.arrow_udf(run, "array<int>")(whole, F.col("__rare.run"), F.col("__rare.ids"))
+    rest = [c for c in docs.columns if c != "ids"]
+    return joined.withColumn("__ids", ids).select(*rest, F.col("__ids").alias("ids"))
+
+
+def spark_table(df: DataFrame, runs: list[str]) -> DataFrame:
+    """The runs of the head as a table."""
+    import pandas as pd
+
+    return df.sparkSession.createDataFrame(pd.DataFrame({"run": pd.Series(runs, dtype="object")}), "run string")
 
 
 def decode(docs: DataFrame, model: str | None = None, ids: str = "ids") -> DataFrame:

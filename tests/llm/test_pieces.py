@@ -77,3 +77,40 @@ def test_long_texts_without_blanks(docs_of):
     assert min(len(t.encode()) for t in long) > 1_000_000
     rows = pieces.measure(docs_of(*long)).collect()
     assert all(r["round_trip"] and r["n_words"] == 1 and r["n_pieces"] > 100_000 for r in rows)
+
+
+def test_random_texts_by_lattice(docs_of, monkeypatch):
+    """Rare and frequent runs, letters beside other characters, characters without a piece."""
+    import random
+
+    monkeypatch.setattr(pieces, "HEAD", 20)
+    rnd, want = random.Random(6), brute()
+    letters = "aeinrstzüé数😀 ̈.,'!-(1 9\n▁"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(60))) for _ in range(200)]
+    texts = [t.replace(pieces.MARK, "") for t in texts] + texts[:0]
+    got = {r["doc_id"]: r["ids"] for r in pieces.encode(docs_of(*texts, texts[0])).collect()}
+    assert got == {i: want(t) for i, t in enumerate([*texts, texts[0]])}
+
+
+def test_decoding_cuts_a_leading_blank_only(spark):
+    p = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    he = p.piece_to_id("he")
+    (row,) = pieces.decode(spark.createDataFrame([([he, he],)], "ids array<int>")).collect()
+    assert row["decoded"] == "hehe"
+
+
+def test_encoding_joins_and_folds(docs_of, prose):
+    plan = pieces.lattice(docs_of(prose(1, 30)).select(pieces.F.col("text").alias("run"), pieces.F.lit(1).alias("n")),
+                          pieces.piece_table())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Generate explode" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_other_columns_pass_through(docs_of):
+    df = docs_of("a b c").withColumns({"run": pieces.F.lit("mine"), "n": pieces.F.lit(5), "ids": pieces.F.lit("old")})
+    (row,) = pieces.encode(df).collect()
+    assert row["run"] == "mine" and row["n"] == 5 and row["ids"] == brute()("a b c")
+
+
+def test_a_model_whose_pieces_mix_letters_and_others_is_not_cut_there():
+    plain, mixed = [("▁a", 0, -1.0), ("!!", 1, -1.0)], [("a!", 0, -1.0)]
+    assert pieces.cutting(plain) != pieces.cutting(mixed) == f" ?[^ {pieces.MARK}]+| |{pieces.MARK}"
