@@ -6,9 +6,10 @@ cuts headings, paragraphs, or what encloses an article or main, or most of the u
 that has neither.
 For every other node the density is its characters per tag, adjusted for links: text inside links
 counts against it. The density sum of a node is the sum over its children; the node with the largest
-sum is the core of the article. An enclosing ``article`` or ``main`` is taken whole. Without one, all
-that is not mostly links on the levels from the core up to the page is part of the article too, and
-so are headings and the text that stands in the enclosing nodes themselves.
+sum is the core of the article. An enclosing ``article`` or ``main`` is taken whole. Without one, the least density on
+the path from the core to the body is the threshold: what stands beside that path on any level is part of the
+article if it is not mostly links and as dense as that, or holds a paragraph; headings and
+the text that stands in the enclosing nodes themselves belong to it too.
 
 Defined results: missing or empty html and pages without text give an empty text; broken markup is
 read as far as it goes (open elements end with the page); very long pages are read whole; rows are
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -37,7 +39,9 @@ RAW = set("script style textarea title noscript template iframe svg select objec
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav
     ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-NEVER = set("nav footer aside form button dialog menu label head".split())
+FOREIGN = set("svg annotation annotation-xml".split())  # may end in their start tag
+UNPARSED = set("script style textarea title iframe".split())  # without an end they take the rest of the page
+NEVER = set("nav footer aside form button dialog menu label head option optgroup".split())
 ROLES = set("""navigation banner contentinfo complementary search dialog alert alertdialog menu
     menubar form""".split())
 # Words in a class or id that mark something beside the article.
@@ -49,6 +53,7 @@ BESIDE = re.compile(
     r"pager|legal|copyright)(?:$|[\s_-]|\d)", re.I)
 # Names that say something about the article or its page and not about a part beside it.
 MODIFIER = re.compile(r"(?:with|without|no|not|has|entry|post|article|story|content)[_-]", re.I)
+STORY = re.compile(r"(?:^|[\s_-])(?:h?entry|post|article|story|content)(?:$|[\s_-])", re.I)
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 ANCHORED = HEADINGS | {"section"}  # their ids are targets of links
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -60,6 +65,9 @@ class Page:
     def __init__(self, html: str) -> None:
         self.tag, self.parent = ["html"], [-1]
         self.beside, self.link = [False], [False]
+        self.story = [False]  # named like an article
+        self.in_article = [False]
+        self.open: Counter[str] = Counter()  # the open elements, so that none is looked for in vain
         self.named = [False]  # by a class or id
         self.own, self.own_linked, self.own_tags, self.own_link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, str | None]] = []  # text, or None where a block begins or ends
@@ -71,11 +79,14 @@ class Page:
     def _open(self, tag: str, attributes: str, at: int) -> int:
         beside = self.beside[at] or tag in NEVER
         if not beside and tag == "header":
-            beside = not self._inside(at, ("article", "main"))
+            beside = not (self.open["article"] or self.open["main"] or self.story[at])
         named = False
         if attributes and tag not in ("html", "body", "article", "main"):
             beside = beside or _is_beside(attributes)
             named = tag not in HEADINGS and tag != "p" and _is_named(attributes, tag in ANCHORED)
+        self.story.append(bool(attributes) and _is_story(attributes))
+        self.in_article.append(self.in_article[at] or self.tag[at] == "article")
+        self.open[tag] += 1
         self.tag.append(tag)
         self.parent.append(at)
         self.beside.append(beside)
@@ -85,30 +96,36 @@ class Page:
             counts.append(0)
         return len(self.tag) - 1
 
-    def _inside(self, at: int, tags: tuple[str, ...]) -> bool:
-        while at > 0:
-            if self.tag[at] in tags:
-                return True
+    def _up_to(self, node: int, at: int) -> int:
+        """End all that is open from ``at`` up to and with ``node``."""
+        while at != node:
+            self.open[self.tag[at]] -= 1
             at = self.parent[at]
-        return False
+        self.open[self.tag[node]] -= 1
+        return self.parent[node]
 
     def _close(self, tag: str, at: int) -> int:
         """The node that is open once the nearest open ``tag`` has ended."""
+        if not self.open[tag]:
+            return at
         node = at
-        while node > 0 and self.tag[node] != tag:
+        while self.tag[node] != tag:
             node = self.parent[node]
-        return self.parent[node] if node > 0 else at
+        return self._up_to(node, at)
 
     def _close_within(self, tags: tuple[str, ...], until: tuple[str, ...], at: int) -> int:
+        if not any(self.open[t] for t in tags):
+            return at
         node = at
         while node > 0 and self.tag[node] not in until:
             if self.tag[node] in tags:
-                return self.parent[node]
+                return self._up_to(node, at)
             node = self.parent[node]
         return at
 
     def _read(self, html: str) -> None:
         at, pos, size = 0, 0, len(html)
+        ends: dict = {}  # the next end tag by name: text without one is searched once
         while pos < size:
             m = TOKEN.search(html, pos)
             if m is None:
@@ -126,11 +143,18 @@ class Page:
                 at = self._close(tag, at)
                 continue
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, pos)
-                pos = end.end() if end else size
+                if tag in FOREIGN and m[3].endswith("/"):
+                    continue
+                if tag not in ends or ends[tag] is not None and ends[tag].start() < pos:
+                    ends[tag] = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, pos)
+                if ends[tag]:
+                    pos = ends[tag].end()
+                elif tag in UNPARSED:
+                    pos = size
                 continue
             if tag in ("html", "body"):
                 at = 0
+                self.open.clear()
             if tag in BLOCK:
                 at = self._close_within(("p",), ("td", "th", "li", "article", "div", "section", "body"), at)
                 self.pieces.append((at, None))
@@ -173,7 +197,7 @@ class Page:
         holds = [False] * len(self.tag)
         for i in range(len(self.tag) - 1, 0, -1):
             up = self.parent[i]
-            if self.tag[i] in ("article", "main") and self.chars[i] and not self._inside(up, ("article",)):
+            if self.tag[i] in ("article", "main") and self.chars[i] and not self.in_article[i]:
                 holds[up] = True
             holds[up] |= holds[i]
         plain = self.chars[0] - self.link_chars[0]
@@ -230,13 +254,18 @@ class Page:
         if whole is not None:
             return [(whole, self.last[whole])]
         # on every level up to the page, what stands beside the path and is not mostly links
+        threshold = min(density[i] for i in path if density[i] > 0)
         steps, ranges = set(path), [(best, self.last[best])]
         ranges += [(i, i) for i in path[1:]]
         ranges += [(i, self.last[i]) for i in nodes[1:] if i not in steps and self.parent[i] in steps
                    and self.parent[i] != best
-                   and (self.tag[i] in HEADINGS or 2 * self.link_chars[i] < self.chars[i])]
+                   and (self.tag[i] in HEADINGS or 2 * self.link_chars[i] < self.chars[i]
+                        and (density[i] >= threshold or self._has_paragraph(i)))]
         return ranges
 
+    def _has_paragraph(self, node: int) -> bool:
+        return any(self.tag[i] == "p" and 2 * self.link_chars[i] < self.chars[i] for i in range(node, self.last[node] + 1))
+
     def text(self) -> str:
         inside = bytearray(len(self.tag))
         for a, b in self.article():
@@ -262,6 +291,12 @@ def _is_beside(attributes: str) -> bool:
     return False
 
 
+def _is_story(attributes: str) -> bool:
+    """Whether class or id name an article."""
+    return any(m[1].lower() in ("class", "id") and STORY.search(m[2] or m[3] or m[4] or "")
+               for m in ATTRIBUTE.finditer(attributes))
+
+
 def _is_named(attributes: str, anchored: bool) -> bool:
     """Whether a word of class or id marks something beside the article."""
     for m in ATTRIBUTE.finditer(attributes):

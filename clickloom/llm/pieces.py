@@ -45,7 +45,7 @@ from ..session import written
 from .text import text_of
 
 MARK = "▁"  # stands for a blank
-HEAD = 400_000  # runs whose ids travel with the tasks
+HEAD = 150_000  # runs whose ids travel with the tasks
 LONG = 64  # characters of a run that becomes rows
 STRETCH = 1024  # characters of a word after which only the scores still in reach go on
 UNKNOWN_MARGIN = 10.0  # below the least score

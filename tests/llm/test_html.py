@@ -65,3 +65,68 @@ def test_sections_of_unequal_density_without_an_article():
                  f"<body>{nav}<div>{sections[0]}</div><div><div>{sections[1]}</div></div></body>"):
         assert html.main_text(page) == "\n".join(long + short)
     assert html.main_text(f"<body>Before{''.join(sections)}</body>") == "\n".join(["Before", *long, *short])
+
+
+def test_elements_without_an_end_lose_nothing():
+    assert html.main_text("<article><p>one</p><svg/><p>two</p></article>") == "one\ntwo"
+    assert html.main_text("<article><p>one</p><object data=x><p>two</p></article>") == "one\ntwo"
+    assert html.main_text("<article><p>one</p><select><option>x<p>two</p></article>").startswith("one")
+    assert html.main_text("<article><p>one</p><svg><text>x</text></svg><p>two</p></article>") == "one\ntwo"
+
+
+def test_deep_and_broken_markup_in_linear_time():
+    import time
+
+    begun = time.time()
+    html.main_text("<div>" * 20_000 + "</span>" * 20_000 + "<p>text</p>")
+    html.main_text("<b>" * 20_000 + "<li>x" * 20_000)
+    html.main_text("<article>" * 5_000 + "<header>x</header>" * 5_000)
+    html.main_text("<object>" * 20_000 + "text")
+    assert time.time() - begun < 10
+
+
+def test_a_post_keeps_the_title_in_its_header():
+    prose = "A sentence that says something about the matter at hand. " * 5
+    page = f"<body><div class=post><header><h1>Title</h1></header><p>{prose}</p><p>{prose}</p></div></body>"
+    assert html.main_text(page).startswith("Title\n")
+    site = f"<body><header><h1>The site</h1></header><div class=post><p>{prose}</p></div></body>"
+    assert "The site" not in html.main_text(site)
+
+
+def test_thin_blocks_beside_the_text_go_by_the_threshold():
+    prose = "A sentence that says something about the matter at hand. " * 6
+    thin = ["Buy shoes now at a discount today", "Menu / Home News Sport", "Sign up to our newsletter"]
+    body = "".join(f"<div><span>{t}</span></div>" for t in thin)
+    page = f"<body>{body}<section>{f'<p>{prose}</p>' * 5}</section><section>{f'<p>{prose[:150]}</p>' * 4}</section></body>"
+    got = html.main_text(page)
+    assert not any(t in got for t in thin) and got.count("\n") == 8
+
+
+def brute_density(page, i):
+    """The formula over the nodes below, summed anew for each node."""
+    import math
+
+    below = [j for j in range(i, page.last[i] + 1) if not page.beside[j]]
+    chars, linked = sum(page.own[j] for j in below), sum(page.own_linked[j] for j in below)
+    tags = sum(page.own_tags[j] for j in below) + len(below) - 1
+    links = sum(page.own_link_tags[j] for j in below) + sum(page.tag[j] == "a" for j in below if j != i)
+    if not chars:
+        return 0.0
+    every = [j for j in range(len(page.tag)) if not page.beside[j]]
+    share = sum(page.own_linked[j] for j in every) / max(sum(page.own[j] for j in every), 1)
+    tags, links, l1 = max(tags, 1), max(links, 1), max(linked, 1)
+    base = math.log(chars / max(chars - linked, 1) * l1 + share * chars + math.e)
+    return chars / tags * max(math.log(chars / l1 * tags / links), 0) / math.log(base + 1)
+
+
+def test_densities_match_brute_force():
+    import random
+
+    rnd = random.Random(4)
+    for _ in range(30):
+        parts = [rnd.choice(["<div>", "</div>", "<p>", "</p>", "<a href=x>", "</a>", "<br>", "some words here ", "x "])
+                 for _ in range(80)]
+        page = html.Page("".join(parts))
+        for i in range(len(page.tag)):
+            if not page.beside[i]:
+                assert abs(page.density(i) - brute_density(page, i)) < 1e-9
