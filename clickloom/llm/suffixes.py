@@ -17,8 +17,11 @@ lie in segments with equal anchors, and the rest runs per anchor.
    bytes has some number of bytes before the anchor; the range of that number is cut into ``PARTS``
    again and again. Strings of one part share at least so many bytes on the left and so many on the
    right, and segments that differ there go separate ways: groups of one are done, groups of at most
-   ``CROWD`` are scanned as above, the others are cut again. At a single number all of a group share
-   a string. Each round is one shuffle of the crowded segments; four rounds end it.
+   ``CROWD`` are scanned as above. Of larger groups the least and the greatest hash of all bytes that
+   the strings of the part cover are taken: where they agree, the whole part is a repeat of all members,
+   put out as one span each; only parts that hold an edge of what is shared are cut again. At a single
+   number all of a group share a string. Each round is one shuffle of the crowded segments; four rounds
+   end it. Repeats found so end at the borders of their part, too; the bytes they cover are the same.
 
 Texts are compared as UTF-8 bytes; a match never crosses from one text into another.
 
@@ -211,6 +214,10 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes]) -> Iterator[tuple[i
                 yield left, depth, members[a:b + 1]
 
 
+def _hash(body: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
+
+
 def _covered(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     """``(seg, start, length, repeat)`` for all members of all repeats of one anchor."""
     lefts = [body[:left][::-1] for _, left, body in rows]
@@ -218,7 +225,7 @@ def _covered(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     for left, right, members in maximal_repeats(lefts, rights):
         one = members[0]
         content = lefts[one][:left][::-1] + rights[one][:right]
-        name = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
+        name = _hash(content)
         for m in members:
             yield rows[m][0], rows[m][1] - left, left + right, name
 
@@ -262,27 +269,29 @@ def _scan(batches: Iterator[pa.RecordBatch], merged: bool) -> Iterator[pa.Record
         yield batch_of()
 
 
-SPLIT = "h long, seg long, left short, body binary, lo int, hi int, side long"
+SPLIT = "h long, seg long, left short, body binary, lo int, hi int, side long, start int, length int, content long"
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each segment once per part of its range that it has strings in, with a hash of the bytes that
-    all strings of that part hold."""
+    all strings of that part hold, and with place, length and hash of those that any of its strings holds."""
     for batch in slices(batches, 2000):
         out = []
         for h, seg, left, body, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(6))):
             right = len(body) - left
             edges = [lo + (hi - lo) * i // PARTS for i in range(PARTS + 1)]
             for a, b in zip(edges, edges[1:]):
-                if max(a, LENGTH - right) < min(b, left + 1):
-                    shared = body[left - a:left + LENGTH + 1 - b]
-                    side = hashlib.blake2b(shared, digest_size=8).digest()
-                    out.append((h, seg, left, body, a, b, int.from_bytes(side, "little", signed=True)))
-        columns = list(zip(*out)) or [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.int16(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
+                least, most = max(a, LENGTH - right), min(b - 1, left)
+                if least <= most:
+                    start, end = left - most, left - least + LENGTH
+                    out.append((h, seg, left, body, a, b, _hash(body[left - a:left + LENGTH + 1 - b]),
+                                start, end - start, _hash(body[start:end])))
+        columns = list(zip(*out)) or [()] * 10
+        kinds = (pa.int64(), pa.int64(), pa.int16(), pa.binary(), pa.int32(), pa.int32(), pa.int64(),
+                 pa.int32(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["h", "seg", "left", "body", "lo", "hi", "side"])
+            ["h", "seg", "left", "body", "lo", "hi", "side", "start", "length", "content"])
 
 
 def _parted(crowd: DataFrame, made: list[DataFrame] | None) -> tuple[DataFrame, DataFrame | None]:
@@ -292,18 +301,17 @@ def _parted(crowd: DataFrame, made: list[DataFrame] | None) -> tuple[DataFrame,
     rows = crowd.select("h", "seg", "left", "body", F.lit(0).alias("lo"), F.lit(LENGTH - GRAM + 1).alias("hi"))
     while not rows.isEmpty():
         split = written(rows.mapInArrow(_split, SPLIT), "split")
-        sizes = split.groupBy(*where).agg(F.count("*").alias("n")).where("n > 1")
+        sizes = split.groupBy(*where).agg(
+            F.count("*").alias("n"), (F.min("content") == F.max("content")).alias("whole")).where("n > 1")
         met = written(split.join(sizes, where), "parted", made)
         discard(split)
         scan = met.where(F.col("n") <= CROWD).select(
             F.xxhash64(*where).alias("group"), "h", "seg", "left", "body")
-        leaf = met.where((F.col("n") > CROWD) & (F.col("hi") - F.col("lo") == 1)).select(
-            "h", "seg", (F.col("left") - F.col("lo")).cast("int").alias("start"),
-            F.lit(LENGTH).alias("length"), F.col("side").alias("repeat"))
+        shared = met.where((F.col("n") > CROWD) & F.col("whole")).select(
+            "h", "seg", "start", "length", F.col("content").alias("repeat"))
         scans = scan if scans is None else scans.union(scan)
-        found = leaf if found is None else found.union(leaf)
-        rows = met.where((F.col("n") > CROWD) & (F.col("hi") - F.col("lo") > 1)).select(
-            "h", "seg", "left", "body", "lo", "hi")
+        found = shared if found is None else found.union(shared)
+        rows = met.where((F.col("n") > CROWD) & ~F.col("whole")).select("h", "seg", "left", "body", "lo", "hi")
     return scans, found
 
 

@@ -37,6 +37,21 @@ def test_removed_bytes_match_brute_force(docs_of, prose, monkeypatch, crowd):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out] == brute(texts)
 
 
+def test_a_passage_of_many_texts_is_put_out_in_few_spans(docs_of, prose, monkeypatch):
+    """Only the parts at the edges of what is shared are cut again, not all of them to single strings."""
+    monkeypatch.setattr(suffixes, "CROWD", 8)
+    passage = prose(40, 120)
+    texts = [prose(100 + i, 40) + passage + prose(200 + i, 40) for i in range(40)]
+    spans = suffixes.repeats(docs_of(*texts)).collect()
+    for r in spans:
+        body = texts[r["d"]].encode()[r["start"]:r["start"] + r["length"]]
+        assert len(body) >= 200 and sum(body in t.encode() for t in texts) > 1
+    inside = len(passage) - 199  # strings of 200 bytes that a text shares
+    assert len(spans) < 40 * inside / 8
+    out = suffixes.cut_repeats(docs_of(*texts)).orderBy("_0").collect()
+    assert [(r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out] == [x[1:] for x in brute(texts)]
+
+
 def test_long_texts_are_read_in_parts(docs_of, prose, monkeypatch):
     monkeypatch.setattr(suffixes, "BATCH", 700)
     texts = cases(prose)
