@@ -30,8 +30,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return shards.place(docs, shards.lookup_table(spark), "doc_id")
+    placed = shards.place(table(spark, sf_dir, "documents"), shards.lookup_table(spark), "doc_id")
+    path = f"{shared_folder(spark)}/clickloom/shards-{uuid.uuid4().hex}"
+    shards.write_shards(placed, path)
+    return shards.read_shards(spark, path, placed.schema).select("doc_id", "slot", "shard")
 
 
 @query

@@ -8,10 +8,12 @@ other shards' slots.
 
 The table depends on the list of shards only (``SLOTS`` entries at most, whatever the data), so it
 is broadcast, and a row finds its shard by one hash and one look at its slot: no shuffle, and no
-key is too hot for it.
+key is too hot for it. ``write_shards`` then moves the rows once, to one folder per shard; how many
+tasks write a shard follows from its counted rows, so a shard that a hot key has filled is no single task.
 
 Defined results: a missing key is placed by the hash of the empty text; equal keys share a shard;
-an empty table gives an empty table; an existing ``slot`` or ``shard`` column is replaced.
+an empty table gives an empty table, also when written and read back; an existing ``slot`` or
+``shard`` column is replaced; repeated rows all stay.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLOTS = 6553  # prime, and about a hundred slots per shard
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
@@ -72,12 +75,23 @@ def place(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
         *rest, "slot", "shard")
 
 
-def write_shards(placed: DataFrame, path: str, spread: int = 1, max_rows: int = MAX_ROWS) -> None:
-    """Write one folder per shard.
+def write_shards(placed: DataFrame, path: str, spread: int | None = None, max_rows: int = MAX_ROWS) -> None:
+    """Write one folder per shard, in files of ``max_rows`` rows at most.
 
-    Rows go to ``spread`` writers per shard (by a hash of the row), so a shard with more rows than
-    the others is written by several tasks, in files of ``max_rows`` rows at most.
+    A shard has ``spread`` writers, or, where that is not given, as many as its rows ask for at
+    ``max_rows`` each: the rows per shard are counted first (the key is all that is read for it), in
+    a table of one row per shard. Rows are dealt to the writers by a hash of their place in the input, so
+    equal rows part as well. The writer's column stays out of the files.
     """
-    salt = F.pmod(F.xxhash64(*[c for c, t in placed.dtypes if not t.startswith("map")]), F.lit(spread))
-    (placed.withColumn("_salt", salt).repartition("shard", "_salt").drop("_salt")
+    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("__writers"))
+    writers = F.ceil(F.col("__writers") / max_rows) if spread is None else F.lit(spread).cast("long")
+    row = F.xxhash64(F.monotonically_increasing_id())
+    dealt = placed.join(F.broadcast(sizes.withColumn("__writers", writers)), "shard").withColumn(
+        "__writer", F.pmod(row, F.col("__writers")))
+    (dealt.repartition("shard", "__writer").select(*placed.columns)
      .write.option("maxRecordsPerFile", max_rows).partitionBy("shard").parquet(path))
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that ``write_shards`` wrote; ``schema`` is that of the placed table."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm import shards
+from clickloom.llm.queries import QUERIES
 
 
 def test_slots_are_dealt_evenly_and_move_little():
@@ -52,3 +53,38 @@ def test_a_hot_shard_is_written_in_several_files(spark, tmp_path):
     files = [f for d in (tmp_path / "s").iterdir() if d.is_dir() for f in d.iterdir() if f.suffix == ".parquet"]
     assert len(files) >= 10
     assert spark.read.parquet(str(tmp_path / "s")).count() == 1000
+
+
+def test_counted_shards_have_writers_by_their_rows(spark, tmp_path):
+    """A shard of equal rows is written by several tasks, and all of them stay."""
+    path = str(tmp_path / "s")
+    df = spark.range(3000).select(F.when(F.col("id") < 2900, 1).otherwise(F.col("id")).alias("k"), F.lit("é").alias("v"))
+    placed = shards.place(df.repartition(16), shards.lookup_table(spark, ["7", "8"], 7), "k")
+    shards.write_shards(placed, path, max_rows=500)
+    files = {d.name: [f for f in d.iterdir() if f.suffix == ".parquet"] for d in (tmp_path / "s").iterdir() if d.is_dir()}
+    assert set(files) == {"shard=7", "shard=8"}
+    tasks = {f.name.split("-c0")[0] for f in max(files.values(), key=len)}
+    assert len(tasks) > 1
+    back = shards.read_shards(spark, path, placed.schema)
+    assert back.dtypes == placed.dtypes  # names like numbers stay text
+    assert Counter(map(tuple, back.collect())) == Counter(map(tuple, placed.collect()))
+
+
+def test_empty_tables_and_missing_keys_are_written(spark, tmp_path):
+    df = spark.createDataFrame([(None, "x", "y"), (None, "x", "y"), (3, None, None)], "id long, shard string, v string")
+    table = shards.lookup_table(spark)
+    for name, rows in (("none", df.limit(0)), ("some", df)):
+        placed = shards.place(rows, table, "id")
+        shards.write_shards(placed, str(tmp_path / name))
+        back = shards.read_shards(spark, str(tmp_path / name), placed.schema)
+        assert back.columns == ["id", "v", "slot", "shard"]
+        assert sorted(map(str, back.collect())) == sorted(map(str, placed.collect()))
+
+
+def test_the_query_puts_every_document_on_its_shard(spark):
+    sf = "/root/testdata/sf0.001"
+    table = shards.fill(shards.SHARDS)
+    got = {r["doc_id"]: (r["slot"], r["shard"]) for r in QUERIES["op9_sharding"](spark, sf).collect()}
+    ids = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()]
+    slot = {i: int(shards.hashlib.md5(f"key:{i}".encode()).hexdigest()[:8], 16) % 2**31 % shards.SLOTS for i in ids}
+    assert got == {i: (slot[i], table[slot[i]]) for i in ids}
