@@ -5,11 +5,12 @@
 2. Generators with high recall propose further, overlapping spans: any run of digits with the
    usual separators, and addresses in which the signs are spelt out.
 3. Boosted trees score a candidate by its format (digits, groups, signs, check digit, shape) and by
-   the characters and key words around it. They learn from a bounded sample (``SAMPLE``) of all
-   candidates: base spans are positive, also in the looser forms in which people write them (made
-   from them by replacing separators, prefixes and signs); all other candidates are negative.
-4. The threshold is the least score above which ``PRECISION`` of a held-out part of that sample is
-   positive. Candidates above it are added where they do not touch a base span; of overlapping ones
+   the characters and key words around it. They learn from all candidates: base spans are positive,
+   also in the looser forms in which people write them (made from them by replacing separators,
+   prefixes and signs); all other candidates are negative. Features are whole numbers in fixed bins,
+   so candidates with equal features are one row with their number as its weight.
+4. The threshold is the least score above which ``PRECISION`` of the held-out candidates (a fourth of
+   all) is positive. Candidates above it are added where they do not touch a base span; of overlapping ones
    the surest stays. Base spans always stay.
 
 Offsets count code points. Matching splits each text by the pattern: the pieces between matches
@@ -53,8 +54,13 @@ MORE = {
                r"(?:(?:\.|\x20?[\[(<]\x20?dot\x20?[\])>]\x20?|\x20dot\x20)[a-z0-9-]++)++",
 }
 AROUND = 24  # characters of context on either side
-SAMPLE = 20_000
 PRECISION = 0.99
+# Features up to the first edge have a bin for each number, larger ones share a bin between two edges.
+EDGES = (24, 28, 32, 40, 48, 64)
+N_BINS = EDGES[0] + len(EDGES) + 1
+# Of more rows than this Spark ML would draw some to find its cuts; bins as classes are all tried.
+DRAWN = 10_000
+PART = 100_000  # rows of equal features in one task
 TREES, DEPTH = 12, 3
 WORDS = {
     "phone": r"(?i)\b(?:tel|phone|call|mobile|fax|cell)\b", "card": r"(?i)\b(?:card|visa|credit|iban)\b",
@@ -174,29 +180,48 @@ def _looser(positives: DataFrame) -> DataFrame:
             .drop("v").withColumnRenamed("w", "v"))
 
 
-def train(candidates: DataFrame, sample: int = SAMPLE) -> tuple[GBTClassificationModel, float] | None:
-    """Trees and threshold from a sample of about ``sample`` rows of ``candidates``.
+def binned(df: DataFrame) -> DataFrame:
+    """``df`` with the bins of ``FEATURES``, from 0 to ``N_BINS`` - 1."""
+    made = features(df)
+    more = lambda c: sum((F.col(c) > e).cast("double") for e in EDGES)
+    return made.withColumns({c: F.least(F.col(c), F.lit(float(EDGES[0]))) + more(c) for c in FEATURES})
+
+
+def assembled(df: DataFrame, classes: bool) -> DataFrame:
+    """Bins as the vector ``features``, as numbers or as ``classes``."""
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": N_BINS}}
+    columns = {c: F.col(c).alias(c, metadata={**nominal, "name": c}) for c in FEATURES} if classes else {}
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df.withColumns(columns))
+
+
+def examples(candidates: DataFrame) -> DataFrame:
+    """Bins, ``label``, ``held`` and ``n``, the number of candidates alike: all there are, and their looser forms."""
+    # held out by text and place: the same however the rows are dealt
+    hashed = F.xxhash64(F.pmod(F.xxhash64("key", "s", "e"), F.lit(2**30)))
+    taken = candidates.select("v", "before", "after", "label", (F.pmod(hashed, F.lit(4)) == 0).alias("held"))
+    both = taken.unionByName(_looser(taken.where("label = 1")))
+    return binned(both).groupBy(*FEATURES, "label", "held").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(candidates: DataFrame) -> tuple[GBTClassificationModel, float] | None:
+    """Trees and threshold from all ``candidates``.
 
     Both classes must occur; otherwise there is nothing to learn and nothing is added.
     """
-    # by text and place: the same sample however the rows are dealt
-    keyed = candidates.withColumn("h", F.pmod(F.xxhash64("key", "s", "e"), F.lit(2**30)))
-    n = candidates.count()
-    taken = keyed.where(F.col("h") < int(2**30 * min(1.0, sample / max(n, 1)))).select(
-        "v", "before", "after", "label", F.xxhash64("h").alias("h"))
-    both = taken.unionByName(_looser(taken.where("label = 1")))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    # a bounded sample: one file in a fixed order, so that the trees are the same in every run
-    ordered = features(both).repartition(1).sortWithinPartitions("h", "v", "before", "after", "label")
-    rows = written(vectors.transform(ordered).select(
-        "features", "label", (F.pmod("h", F.lit(4)) == 0).alias("held")), "pii-sample")
-    seen = {(r["label"], r["held"]) for r in rows.select("label", "held").distinct().collect()}
-    if len(seen) < 4:
+    alike = written(examples(candidates), "pii-examples")
+    told = alike.groupBy("label", "held").agg(F.count(F.lit(1)).alias("n")).collect()  # four rows at most
+    if len(told) < 4:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=32, stepSize=0.3).fit(rows.where("not held"))
+    n = sum(r["n"] for r in told)
+    # in a fixed order, so that the trees are the same in every run
+    ordered = alike.repartition(1 + n // PART, *FEATURES).sortWithinPartitions(*FEATURES, "label", "held")
+    rows = written(assembled(ordered, n > DRAWN).select("features", "label", "held", F.col("n").cast("double").alias("n")),
+                   "pii-rows")
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=32, stepSize=0.3, weightCol="n").fit(
+        rows.where("not held"))
     score = F.floor(vector_to_array("probability")[1] * 200) / 200
     bins = model.transform(rows.where("held")).groupBy(score.alias("score")).agg(
-        F.count("*").alias("n"), F.sum("label").alias("good"))  # 201 rows at most
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good"))  # 201 rows at most
     above = Window.orderBy(F.desc("score"))
     good = bins.select("score", (F.sum("good").over(above) / F.sum("n").over(above)).alias("precision")).where(
         F.col("precision") >= PRECISION)
@@ -245,8 +270,7 @@ def find(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFra
         met = scanned.withColumn(ADDED, none)
     else:
         model, least = learnt
-        fresh = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
-            features(labelled.where("not touches")))
+        fresh = assembled(binned(labelled.where("not touches")), False)
         scored = model.transform(fresh).where(vector_to_array("probability")[1] >= least)
         ranked = F.struct(vector_to_array("probability")[0].alias("doubt"), "s", "e", _kind_of(F.col("v")).alias("k"))
         chosen = scored.where(_kind_of(F.col("v")).isNotNull()).groupBy(F.col("row").alias(ROW)).agg(

@@ -105,3 +105,36 @@ def test_columns_named_like_helpers(docs_of):
     for r in private.find(df).collect():
         assert [r[n] for n in names] == names
     assert {r["row"] for r in private.redact(df).collect()} == {"row"}
+
+
+def candidates_of(spark, n):
+    """Card numbers found by the base rules, and as many plain numbers, each at a place of its own."""
+    F = private.F
+    good = F.col("id") % 2 == 0
+    return spark.range(n).select(
+        F.col("id").alias("key"), F.lit(0).alias("s"), F.lit(16).alias("e"),
+        F.when(good, "4111111111111111").otherwise(F.concat(F.lit("411111111111"), F.lpad(F.col("id") % 7919, 4, "0"))).alias("v"),
+        F.lit("x ").alias("before"), F.lit(" y").alias("after"), good.cast("double").alias("label"))
+
+
+def test_every_candidate_teaches(spark):
+    """No candidate is left out, however many there are; the looser form of each found one is there too."""
+    n = 50_000
+    told = private.examples(candidates_of(spark, n)).groupBy("label").agg(private.F.sum("n").alias("n"))
+    assert {r["label"]: r["n"] for r in told.collect()} == {0.0: n // 2, 1.0: n}
+
+
+def test_bins_as_classes_find_the_same(spark, monkeypatch):
+    """Where Spark ML would draw rows to find cuts, bins are classes, over several parts."""
+    few, least = private.train(candidates_of(spark, 4000))
+    monkeypatch.setattr(private, "DRAWN", 0)
+    monkeypatch.setattr(private, "PART", 5)
+    monkeypatch.setattr(private, "N_BINS", 31)
+    rows = private.examples(candidates_of(spark, 4000)).withColumn("copy", private.F.explode(private.F.sequence(
+        private.F.lit(0), private.F.lit(40)))).withColumn("word_ip", private.F.col("word_ip") + private.F.col("copy") % 31)
+    monkeypatch.setattr(private, "examples", lambda _: rows.drop("copy"))
+    many, _ = private.train(candidates_of(spark, 10))
+    test = private.assembled(private.binned(candidates_of(spark, 50)), False)
+    for model in (few, many):
+        right = model.transform(test).where("prediction = label").count()
+        assert right >= 45
