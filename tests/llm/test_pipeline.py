@@ -87,3 +87,14 @@ def test_run_matches_a_plain_chain(spark, docs_of, rows, tmp_path):
 def test_run_on_an_empty_table(spark, docs_of, tmp_path):
     docs_of((1, "x")).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_personal_data_stage_learns_from_all_candidates(spark, docs_of, monkeypatch):
+    """Every document's candidate is among what the stage learns from."""
+    from clickloom.llm import private
+
+    counted, whole = [], private.examples
+    monkeypatch.setattr(private, "examples", lambda c: counted.append(whole(c).agg(private.F.sum("n")).first()[0]) or whole(c))
+    docs = docs_of(*[f"card 4111111111111111 no {i}" for i in range(24_000)])
+    corpus_pipeline.personal_data(spark, docs, "").count()
+    assert counted == [96_000]  # two generators find each number, each with one looser form
