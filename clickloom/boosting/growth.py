@@ -49,6 +49,7 @@ class Growing:
     asked: list = field(default_factory=lambda: [0])
     small: list = field(default_factory=list)  # leaves to be finished by one task each
     chosen: list = field(default_factory=list)
+    small_rows: int | None = None  # instead of ``SMALL``
 
     def learn(self, found: dict[int, tuple]) -> None:
         """Take the answers to ``asked``: (gain or None, feature, bin, left sums, all sums) per node."""
@@ -73,7 +74,8 @@ class Growing:
             self.depth.append(self.depth[node] + 1)
             self.sums[child] = sums
             if self._may_split(child):
-                (self.small if sums[2] <= SMALL else self.asked).append(child)
+                small = SMALL if self.small_rows is None else self.small_rows
+                (self.small if sums[2] <= small else self.asked).append(child)
 
     def graft(self, found: dict[int, list[tuple]]) -> None:
         """Take the answers to ``small``: the nodes below each leaf, the leaf first, as ``finish`` gives them."""

@@ -228,3 +228,30 @@ def test_pair_is_two_settings_of_one_fit():
     assert (models.Boosting().leaves, models.Boosting().depth) == (64, None)
     assert (models.SECOND_BOOSTER.depth, models.SECOND_BOOSTER.l2, models.SECOND_BOOSTER.row_every) == (6, 1.0, 1)
     assert (models.RANKER_BOOSTER.rounds, models.RANKER_BOOSTER.patience, models.RANKER_BOOSTER.leaves) == (500, 40, 63)
+
+
+def test_more_rounds_take_no_more_jobs(spark, frame):
+    """Rows that fit into memory are not read anew for each pass."""
+    df, _ = frame
+    jobs = []
+    for rounds in (1, 8):
+        spark.sparkContext.setJobGroup(f"rounds-{rounds}", "")
+        boosting.fit(df, [Boosting(rounds=rounds, leaves=6, min_rows=5)], ["m"], held=F.col("id") % 4 == 0)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{rounds}")))
+    spark.sparkContext.setJobGroup("rest", "")
+    assert jobs[0] == jobs[1]
+
+
+@pytest.mark.parametrize("objective", ["logistic", "listwise"])
+def test_one_task_several_and_passes_over_files_agree(lists, monkeypatch, objective):
+    df, _ = lists
+    s = Boosting(rounds=2, leaves=4, objective=objective, l2=0.1, min_rows=5, row_share=0.8)
+    found = []
+    for blocks, held in ((64, 1 << 29), (8, 1 << 29), (64, 0)):
+        monkeypatch.setattr(boosting.together, "PER_TASK", blocks)
+        monkeypatch.setattr(boosting.together, "HELD", held)
+        (m,) = boosting.fit(df, [s], ["m"], held=F.col("id2") % 5 == 1, lists=F.col("id2"), size=100, whole=True)
+        found.append(m)
+    for other in found[1:]:
+        assert found[0].nodes().drop("value", "gain").exceptAll(other.nodes().drop("value", "gain")).isEmpty()
+        assert found[0].history == pytest.approx(other.history)
