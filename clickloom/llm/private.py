@@ -9,9 +9,9 @@
    also in the looser forms in which people write them (made from them by replacing separators,
    prefixes and signs); all other candidates are negative. Features are whole numbers in fixed bins,
    so candidates with equal features are one row with their number as its weight.
-4. The threshold is the least score above which ``PRECISION`` of the held-out candidates (a fourth of
-   all) is positive. Candidates above it are added where they do not touch a base span; of overlapping ones
-   the surest stays. Base spans always stay.
+4. The threshold is the least score above which ``PRECISION`` of all candidates is positive, each half of
+   them scored by trees that learnt from the other; the trees in use learn from both. Candidates above it are
+   added where they do not touch a base span; of overlapping ones the surest stays. Base spans always stay.
 
 Offsets count code points. Matching splits each text by the pattern: the pieces between matches
 give the offsets, so no text leaves its row. Only candidates move, and only to their own row.
@@ -196,9 +196,9 @@ def assembled(df: DataFrame, classes: bool) -> DataFrame:
 
 def examples(candidates: DataFrame) -> DataFrame:
     """Bins, ``label``, ``held`` and ``n``, the number of candidates alike: all there are, and their looser forms."""
-    # held out by text and place: the same however the rows are dealt
+    # halves by text and place: the same however the rows are dealt
     hashed = F.xxhash64(F.pmod(F.xxhash64("key", "s", "e"), F.lit(2**30)))
-    taken = candidates.select("v", "before", "after", "label", (F.pmod(hashed, F.lit(4)) == 0).alias("held"))
+    taken = candidates.select("v", "before", "after", "label", (F.pmod(hashed, F.lit(2)) == 0).alias("held"))
     both = taken.unionByName(_looser(taken.where("label = 1")))
     return binned(both).groupBy(*FEATURES, "label", "held").agg(F.count(F.lit(1)).alias("n"))
 
@@ -217,16 +217,17 @@ def train(candidates: DataFrame) -> tuple[GBTClassificationModel, float] | None:
     ordered = alike.repartition(1 + n // PART, *FEATURES).sortWithinPartitions(*FEATURES, "label", "held")
     rows = written(assembled(ordered, n > DRAWN).select("features", "label", "held", F.col("n").cast("double").alias("n")),
                    "pii-rows")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=32, stepSize=0.3, weightCol="n").fit(
-        rows.where("not held"))
+    boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=32, stepSize=0.3, weightCol="n")
+    halves = [rows.where("held"), rows.where("not held")]
+    judged = boosted.fit(halves[1]).transform(halves[0]).unionAll(boosted.fit(halves[0]).transform(halves[1]))
     score = F.floor(vector_to_array("probability")[1] * 200) / 200
-    bins = model.transform(rows.where("held")).groupBy(score.alias("score")).agg(
+    bins = judged.groupBy(score.alias("score")).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good"))  # 201 rows at most
     above = Window.orderBy(F.desc("score"))
     good = bins.select("score", (F.sum("good").over(above) / F.sum("n").over(above)).alias("precision")).where(
         F.col("precision") >= PRECISION)
     least = good.agg(F.min("score").alias("least")).first()["least"]
-    return None if least is None else (model, float(least))
+    return None if least is None else (boosted.fit(rows), float(least))
 
 
 def _number_of(k: int) -> Column:

@@ -13,8 +13,9 @@ rests on enough texts. A limit is the upper quartile plus a multiple of the quar
 distance is at least ``Rule.spread``, so that a group in which a measure hardly varies does not
 reject ordinary texts. ``judge`` joins the limits and decides.
 
-Limits are written once: KLL sketches of more values than they hold make random choices, so limits made anew could
-differ in the last places (rank error about 0.5 %), and with them ``kept``. ``limit_level`` tells whether a
+A KLL sketch of more values than it holds keeps a random part of them, so its quartiles are off by some ranks
+(about 0.5 %). They only tell between which values a quartile lies: the texts below and between those are
+counted, and the quartile is the value at its exact rank. ``limit_level`` tells whether a
 group's limits rest on itself, its language or the whole table.
 
 Defined results: if no text passes the base rules there are no limits, and none is kept; missing text counts as empty and fails the base rules; missing language or source
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -67,6 +68,9 @@ RULES = (
 GROUP = ("lang", "source")
 MIN_GROUP = 200  # texts behind a limit before the group stands for itself
 SKETCH_K = 400  # size of a sketch: rank error about 0.5 %
+MARGIN = 0.03  # ranks on either side of a sketched quartile that are counted, as a share of all
+QUARTILES = (0.25, 0.75)
+SCOPE = ("limit_level", "__q_of_lang", "__q_of_source")  # the texts that a limit rests on
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -126,17 +130,70 @@ def thresholds(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) ->
         F.kll_merge_agg_double(f"{r.name}_all", SKETCH_K).alias(f"{r.name}_whole") for r in rules])
     joined = per_group.join(per_lang, "__q_lang").crossJoin(F.broadcast(whole))  # whole: one row
 
-    def limit(r: Rule) -> Column:
-        sketch = (F.when(F.col("n") >= min_group, F.col(r.name))
-                  .when(F.col("n_lang") >= min_group, F.col(f"{r.name}_all"))
-                  .otherwise(F.col(f"{r.name}_whole")))
+    def of_level(group, lang, whole):
+        return F.when(F.col("n") >= min_group, group).when(F.col("n_lang") >= min_group, lang).when(
+            F.col("n_whole") > 0, whole)
+
+    def bracket(r: Rule, q: float) -> Column:
+        sketch = of_level(F.col(r.name), F.col(f"{r.name}_all"), F.col(f"{r.name}_whole"))
         # an empty sketch has no quantile: asking for one is an error
-        low, high = (F.when(F.col("n_whole") > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q))) for q in (0.25, 0.75))
+        low, high = (F.when(F.col("n_whole") > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(x)))
+                     for x in (max(q - MARGIN, 0.0), min(q + MARGIN, 1.0)))
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    items = [(r, q) for r in rules for q in QUARTILES]
+    groups = written(joined.select(
+        "__q_lang", "__q_source", of_level(F.lit("group"), F.lit("language"), F.lit("table")).alias("limit_level"),
+        of_level(F.col("__q_lang"), F.col("__q_lang"), F.lit("")).alias("__q_of_lang"),
+        of_level(F.col("__q_source"), F.lit(""), F.lit("")).alias("__q_of_source"),
+        of_level(F.col("n"), F.col("n_lang"), F.col("n_whole")).alias("__q_n"),
+        F.array(*[bracket(r, q) for r, q in items]).alias("__q_between")), "brackets")
+    scopes = groups.where("limit_level is not null").select(*SCOPE, "__q_n", "__q_between").dropDuplicates(list(SCOPE))
+    values = good.where(F.col(rules[0].name).isNotNull()).select("__q_lang", "__q_source", F.array(
+        *[F.col(r.name) for r, _ in items]).alias("__q_values"))
+    found = written(_quartiles(values, scopes, items), "quartiles")
+    # the sketch was off by more than its margin: all values are counted
+    missed = scopes.join(found.where(F.size("__q_at") == len(items)), list(SCOPE), "left_anti")
+    if not missed.isEmpty():
+        every = F.transform("__q_between", lambda _: F.struct(
+            F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high")))
+        again = _quartiles(values, missed.withColumn("__q_between", every), items)
+        found = found.join(missed, list(SCOPE), "left_anti").unionByName(again)
+
+    def limit(k: int, r: Rule) -> Column:
+        low, high = (F.element_at("__q_at", F.lit(2 * k + j)) for j in (0, 1))
         return (high + r.factor * F.greatest(high - low, F.lit(r.spread))).alias(f"__q_limit_{r.name}")
 
-    level = (F.when(F.col("n") >= min_group, "group").when(F.col("n_lang") >= min_group, "language")
-             .when(F.col("n_whole") > 0, "table"))
-    return joined.select("__q_lang", "__q_source", *[limit(r) for r in rules], level.alias("limit_level"))
+    return groups.join(found, list(SCOPE), "left").select(
+        "__q_lang", "__q_source", *[limit(k, r) for k, r in enumerate(rules)], "limit_level")
+
+
+def _quartiles(values: DataFrame, scopes: DataFrame, items: list) -> DataFrame:
+    """``__q_at``, per scope: the exact quartile of each item whose bracket holds it, by the item's place.
+
+    Equal values are counted on the map side; what is sorted are the different values inside a bracket.
+    """
+    parts = []
+    for level, keys in (("group", ["__q_lang", "__q_source"]), ("language", ["__q_lang"]), ("table", [])):
+        own = scopes.where(F.col("limit_level") == level)
+        named = own.withColumns({"__q_lang": F.col("__q_of_lang"), "__q_source": F.col("__q_of_source")}).drop(
+            *{"__q_lang", "__q_source"} - set(keys))
+        rows = values.join(named, keys) if keys else values.crossJoin(named)
+        parts.append(rows.select(*SCOPE, "__q_n", F.posexplode(
+            F.arrays_zip("__q_values", "__q_between")).alias("__q_item", "__q_x")))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    x, low, high = F.col("__q_x.__q_values"), F.col("__q_x.__q_between.low"), F.col("__q_x.__q_between.high")
+    counted = every.where(x <= high).groupBy(*SCOPE, "__q_n", "__q_item", F.when(x >= low, x).alias("__q_v")).agg(
+        F.count(F.lit(1)).alias("__q_rows"))  # missing: below the bracket
+    upwards = Window.partitionBy(*SCOPE, "__q_item").orderBy(F.asc_nulls_first("__q_v")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    q = F.element_at(F.array(*[F.lit(q) for _, q in items]), F.col("__q_item") + 1)
+    rank = F.greatest(F.ceil(q * F.col("__q_n")), F.lit(1))
+    upto = counted.withColumn("__q_upto", F.sum("__q_rows").over(upwards))
+    met = upto.where((F.col("__q_upto") >= rank) & (F.col("__q_upto") - F.col("__q_rows") < rank)
+                     & F.col("__q_v").isNotNull())  # one row per item
+    at = met.groupBy(*SCOPE).agg(F.map_from_entries(F.collect_list(F.struct("__q_item", "__q_v"))).alias("__q_at"))
+    return at
 
 
 def judge(measured: DataFrame, limits: DataFrame, rules=RULES) -> DataFrame:

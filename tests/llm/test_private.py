@@ -138,3 +138,14 @@ def test_bins_as_classes_find_the_same(spark, monkeypatch):
     for model in (few, many):
         right = model.transform(test).where("prediction = label").count()
         assert right >= 45
+
+
+def test_trees_and_threshold_rest_on_all_candidates(spark, monkeypatch):
+    """The trees in use learn from every candidate, and every candidate is scored for the threshold."""
+    learnt, fit = [], private.GBTClassifier.fit
+    monkeypatch.setattr(private.GBTClassifier, "fit", lambda self, rows: learnt.append(
+        rows.agg(private.F.sum("n")).first()[0]) or fit(self, rows))
+    table = candidates_of(spark, 4000)
+    whole = private.examples(table).agg(private.F.sum("n")).first()[0]
+    assert private.train(table) is not None
+    assert learnt[2] == whole == learnt[0] + learnt[1]

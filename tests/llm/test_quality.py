@@ -93,3 +93,30 @@ def test_kept_matches_brute_force(docs_of, prose):
     expected = {i for i, r in passing.items() if all(r[m] / r[0] <= limits[m] for m in limits)}
     got = {r["doc_id"] for r in quality.rate(docs_of(*texts)).collect() if r["kept"]}
     assert got == expected and 0 < len(got)
+
+
+def test_limits_are_exact_quartiles_of_large_groups(spark, monkeypatch):
+    """Far more values than a sketch holds, in all three levels; also when the sketch's bracket misses."""
+    F = quality.F
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") < 20_000, "a").when(F.col("id") < 29_900, "b").otherwise("c").alias("lang"),
+        F.when(F.col("id").between(20_000, 29_899), F.concat(F.lit("s"), (F.col("id") % 99).cast("string"))).otherwise("s").alias("source"),
+        F.lit(1000).cast("long").alias("n_words"), *[
+            F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_003)).alias(c) for k, c in enumerate(quality.COUNTS[1:])],
+        F.lit(False).alias("base_failed"))
+    values = rows.collect()
+
+    def exact(measure, take):
+        mine = sorted(r[measure] / 1000 for r in values if take(r))
+        low, high = (mine[-(-int(q * 4) * len(mine) // 4) - 1] for q in (0.25, 0.75))
+        return high + 3 * (high - low)
+
+    for margin in (quality.MARGIN, -0.01):
+        monkeypatch.setattr(quality, "MARGIN", margin)
+        got = {(r["__q_lang"], r["__q_source"]): r for r in quality.thresholds(rows).collect()}
+        assert len(got) == 101
+        for key, level, take in ((("a", "s"), "group", lambda r: r["lang"] == "a"), (("b", "s7"), "language", lambda r: r["lang"] == "b"),
+                                 (("c", "s"), "table", lambda r: True)):
+            assert got[key]["limit_level"] == level
+            for rule, measure in (("symbols_per_word", "n_symbols"), ("word_length", "word_chars")):
+                assert abs(got[key][f"__q_limit_{rule}"] - exact(measure, take)) < 1e-9
