@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..boosting.fit import Boosting, best_round, fit
+from ..boosting.forest import fit_forest as grow_forest
 from ..boosting.objectives import LISTWISE
 from ..functions.scores import blend
 from ..session import written
@@ -51,15 +50,6 @@ SECOND_BOOSTER = Boosting(
 RANKER_BOOSTER = Boosting(rounds=500, patience=40, leaves=63, row_every=3, objective=LISTWISE)
 
 
-def _named(classifier, model: str):
-    """Output columns of its own for each model, so that several can score the same rows."""
-    return (
-        classifier.setPredictionCol(f"{model}_prediction")
-        .setProbabilityCol(f"{model}_probability")
-        .setRawPredictionCol(f"{model}_raw")
-    )
-
-
 def fit_pair(
     rows: DataFrame,
     features: Sequence[str],
@@ -79,13 +69,9 @@ def fit_pair(
 def fit_forest(
     rows: DataFrame, features: Sequence[str], trees: int = 100, depth: int = 10, seed: int = SEED
 ) -> PipelineModel:
-    forest = _named(
-        RandomForestClassifier(
-            featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
-        ),
-        FOREST,
-    )
-    return PipelineModel([assembler(features), forest.fit(rows)])
+    """A random forest on 0/1 labels; nodes draw from the square root of the features, trees draw their rows."""
+    model = grow_forest(rows, FOREST, FEATURES, LABEL, F.col(HELD_OUT), trees, depth, seed)
+    return PipelineModel([assembler(features), model])
 
 
 def fit_ranker(
@@ -99,11 +85,6 @@ def fit_ranker(
     return PipelineModel([assembler(features), model])
 
 
-def probability(model: str) -> Column:
-    """Probability of the positive class."""
-    return vector_to_array(F.col(f"{model}_probability"))[1]
-
-
 def _transform(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Rows that are assembled already skip the first stage."""
     stages = model.stages[1:] if FEATURES in df.columns else model.stages
@@ -120,7 +101,7 @@ def score_pair(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataF
 
 
 def score_forest(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
-    return model.transform(df).select(*df.columns, probability(FOREST).alias(name))
+    return model.transform(df).select(*df.columns, F.col(f"{FOREST}_score").alias(name))
 
 
 def score_ranker(model: PipelineModel, df: DataFrame, name: str = "pred") -> DataFrame:
