@@ -114,3 +114,17 @@ def test_other_columns_pass_through(docs_of):
 def test_a_model_whose_pieces_mix_letters_and_others_is_not_cut_there():
     plain, mixed = [("▁a", 0, -1.0), ("!!", 1, -1.0)], [("a!", 0, -1.0)]
     assert pieces.cutting(plain) != pieces.cutting(mixed) == f" ?[^ {pieces.MARK}]+| |{pieces.MARK}"
+
+
+def test_measuring_takes_one_python_worker_a_task(docs_of, prose):
+    """Ids and texts come from one pass: two would hold the tables twice; more texts than Python holds at a time."""
+    texts = [*TEXTS, *(prose(i, 4) for i in range(2 * pieces.SLICE + 3))]
+    measured = pieces.measure(docs_of(*texts))
+    plan = measured._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    want = brute()
+    assert {r["doc_id"]: (r["n_pieces"], r["round_trip"]) for r in measured.collect()} == {
+        i: (len(want(t)), True) for i, t in enumerate(texts)}
+    apart, one = docs_of(*TEXTS), pieces.encode(docs_of(*TEXTS), back=True)
+    assert one.columns[-2:] == ["ids", "decoded"]
+    assert one.exceptAll(pieces.decode(pieces.encode(apart))).isEmpty()
