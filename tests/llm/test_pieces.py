@@ -128,3 +128,40 @@ def test_measuring_takes_one_python_worker_a_task(docs_of, prose):
     apart, one = docs_of(*TEXTS), pieces.encode(docs_of(*TEXTS), back=True)
     assert one.columns[-2:] == ["ids", "decoded"]
     assert one.exceptAll(pieces.decode(pieces.encode(apart))).isEmpty()
+
+
+def test_texts_move_packed_and_alone(docs_of, prose, monkeypatch):
+    """The disk holds one step's shuffle: what a text needs is written before, and texts move packed, without their runs."""
+    monkeypatch.setattr(pieces, "HEAD", 5)
+    names, freed, plain = [], [], pieces.written
+    text = prose(1, 400)
+    docs = docs_of(*TEXTS, text, text + " 😀▁", text)
+    before = docs.sparkSession.conf.get(pieces.FREED)
+
+    def written(df, name):
+        names.append(name)
+        freed.append(df.sparkSession.conf.get(pieces.FREED))
+        return plain(df, name)
+
+    monkeypatch.setattr(pieces, "written", written)
+    coded = pieces.encode(docs, back=True)
+    assert (names, freed) == (["runs", "paths"], ["true", "true"])
+    assert docs.sparkSession.conf.get(pieces.FREED) == before
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("BatchEvalPython") == 1 and plan.count("Relation [__text") == 1
+    want, rows = brute(), coded.collect()
+    texts = [*TEXTS, text, text + " 😀▁", text]
+    assert [r["text"] for r in sorted(rows, key=lambda r: r["doc_id"])] == texts
+    assert all(r["decoded"] == (r["text"] or "") for r in rows)
+    assert {r["doc_id"]: r["ids"] for r in rows if pieces.MARK not in (r["text"] or "")} == {
+        i: want(t) for i, t in enumerate(texts) if pieces.MARK not in (t or "")}
+
+
+def test_runs_are_cut_alike_in_and_out_of_spark(docs_of):
+    table = [("\u2581a", 0, -1.0), ("!!", 1, -1.0)]
+    texts = ["".join(map(chr, range(lo, lo + 7))) + " a\u0301b, 12\u2581x" for lo in (65, 0xC0, 0x2FE, 0x4E00, 0xAC00, 0xFFF8, 0x1F600, 0x20000)]
+    pattern = pieces.cutting(table)
+    cut = pieces.cutter(pattern, pieces.letters())
+    rows = docs_of(*texts).select("text", pieces.runs_of(pieces.F.col("text"), pattern).alias("runs")).collect()
+    assert {r["text"]: r["runs"] for r in rows} == {t: cut(t) for t in texts}
+    assert cut("") == []
