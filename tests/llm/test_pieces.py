@@ -165,3 +165,11 @@ def test_runs_are_cut_alike_in_and_out_of_spark(docs_of):
     rows = docs_of(*texts).select("text", pieces.runs_of(pieces.F.col("text"), pattern).alias("runs")).collect()
     assert {r["text"]: r["runs"] for r in rows} == {t: cut(t) for t in texts}
     assert cut("") == []
+
+
+def test_ids_out_of_the_model_decode_to_nothing(spark):
+    p = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    he = p.piece_to_id("he")
+    rows = [([-1, he, 10**9, p.unk_id(), he, -(10**9)],), ([],), (None,), ([7 * 10**8],)]
+    got = pieces.decode(spark.createDataFrame(rows, "ids array<int>").coalesce(1)).collect()
+    assert [r["decoded"] for r in got] == ["hehe", "", None, ""]
