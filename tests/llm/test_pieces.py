@@ -173,3 +173,42 @@ def test_ids_out_of_the_model_decode_to_nothing(spark):
     rows = [([-1, he, 10**9, p.unk_id(), he, -(10**9)],), ([],), (None,), ([7 * 10**8],)]
     got = pieces.decode(spark.createDataFrame(rows, "ids array<int>").coalesce(1)).collect()
     assert [r["decoded"] for r in got] == ["hehe", "", None, ""]
+
+
+def test_pieces_on_no_best_path_are_left_out(spark):
+    """Pieces of any length and scores with many ties: paths are those of the whole table, and the join has few pieces."""
+    import random
+
+    rnd = random.Random(3)
+    texts = {"".join(rnd.choice("abc") for _ in range(rnd.randrange(2, 9))) for _ in range(150)} | {pieces.MARK + "ab", pieces.MARK + "abcabca"}
+    table = [(x, i, float(-rnd.randrange(1, 12))) for i, x in enumerate(["a", "b", pieces.MARK, *sorted(texts)])] + [("ab", 999, -1.0)]
+    score = {}
+    for x, _, s in table:
+        score[x] = max(s, score.get(x, s))
+    unknown = min(score.values()) - pieces.UNKNOWN_MARGIN
+
+    def want(run):
+        best = [(0.0, [])]
+        for e in range(1, len(run) + 1):
+            found = [(best[s][0] + v, e - s, s) for s in range(e)
+                     if (v := score.get(run[s:e], unknown if e - s == 1 else None)) is not None]
+            v, _, s = max(found)
+            best.append((v, [*best[s][1], run[s:e]]))
+        return best[-1][1]
+
+    runs = sorted({rnd.choice(["", " "]) + "".join(rnd.choice("aabbcd") for _ in range(rnd.randrange(1, 30))) for _ in range(300)})
+    got = pieces.lattice(spark.createDataFrame([(r, 1) for r in runs], "run string, n long"), table).collect()
+    assert {r["run"]: r["path"] for r in got} == {
+        r: "".join(p + " " for p in want(r.replace(" ", pieces.MARK))) for r in runs}
+    kept = {x for x, _, _ in pieces.worth(table)}
+    assert {x for r in runs for x in want(r.replace(" ", pieces.MARK)) if x in score} <= kept < score.keys()
+    assert len(pieces.worth(pieces.piece_table())) < 11_000
+    tied = [("a", 0, -1.0), ("b", 1, -2.0), ("ab", 2, -3.0), ("ba", 3, -3.5)]
+    assert pieces.worth(tied) == tied[:3]
+
+
+def test_grouping_the_edges_has_rows_in_order(spark):
+    """The edges of all runs were sorted by run, twice, and each step of the fold copied all paths so far."""
+    plan = pieces.lattice(spark.createDataFrame([(" abc", 1)], "run string, n long"), pieces.piece_table())
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in text and "array<string>" not in text
