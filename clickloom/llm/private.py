@@ -23,6 +23,8 @@ columns are kept by ``redact`` and ``find``; those named like a result column ar
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -58,7 +60,7 @@ PRECISION = 0.99
 # Features up to the first edge have a bin for each number, larger ones share a bin between two edges.
 EDGES = (24, 28, 32, 40, 48, 64)
 N_BINS = EDGES[0] + len(EDGES) + 1
-# Of more rows than this Spark ML would draw some to find its cuts; bins as classes are all tried.
+# Spark ML finds its cuts in this many rows, or in the square of ``maxBins`` where that is more.
 DRAWN = 10_000
 PART = 100_000  # rows of equal features in one task
 TREES, DEPTH = 12, 3
@@ -187,11 +189,16 @@ def binned(df: DataFrame) -> DataFrame:
     return made.withColumns({c: F.least(F.col(c), F.lit(float(EDGES[0]))) + more(c) for c in FEATURES})
 
 
-def assembled(df: DataFrame, classes: bool) -> DataFrame:
-    """Bins as the vector ``features``, as numbers or as ``classes``."""
-    nominal = {"ml_attr": {"type": "nominal", "num_vals": N_BINS}}
-    columns = {c: F.col(c).alias(c, metadata={**nominal, "name": c}) for c in FEATURES} if classes else {}
-    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df.withColumns(columns))
+def assembled(df: DataFrame, learning: bool) -> DataFrame:
+    """Bins as the vector ``features``; for ``learning`` beside what trees learn from, and nothing else."""
+    made = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
+    return made.select("features", "label", "held", F.col("n").cast("double").alias("n")) if learning else made
+
+
+def most_bins(n: int) -> int:
+    """``maxBins`` for ``n`` rows: room for every bin, and so much that Spark ML finds its cuts in all rows, not in
+    some. There are no more cuts than bins with rows."""
+    return max(N_BINS + 1, 1 + math.isqrt(n) if n > DRAWN else 0)
 
 
 def examples(candidates: DataFrame) -> DataFrame:
@@ -215,9 +222,9 @@ def train(candidates: DataFrame) -> tuple[GBTClassificationModel, float] | None:
     n = sum(r["n"] for r in told)
     # in a fixed order, so that the trees are the same in every run
     ordered = alike.repartition(1 + n // PART, *FEATURES).sortWithinPartitions(*FEATURES, "label", "held")
-    rows = written(assembled(ordered, n > DRAWN).select("features", "label", "held", F.col("n").cast("double").alias("n")),
-                   "pii-rows")
-    boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=32, stepSize=0.3, weightCol="n")
+    rows = written(assembled(ordered, True), "pii-rows")
+    # bins are numbers in their order, and every cut between two of them is tried, however many rows there are
+    boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, maxBins=most_bins(n), stepSize=0.3, weightCol="n")
     halves = [rows.where("held"), rows.where("not held")]
     judged = boosted.fit(halves[1]).transform(halves[0]).unionAll(boosted.fit(halves[0]).transform(halves[1]))
     score = F.floor(vector_to_array("probability")[1] * 200) / 200

@@ -149,3 +149,27 @@ def test_trees_and_threshold_rest_on_all_candidates(spark, monkeypatch):
     whole = private.examples(table).agg(private.F.sum("n")).first()[0]
     assert private.train(table) is not None
     assert learnt[2] == whole == learnt[0] + learnt[1]
+
+
+def test_trees_are_the_same_beyond_the_rows_that_spark_ml_draws(spark, monkeypatch):
+    """Bins stay numbers in their order: a cut lies between two of them, also for values that no candidate had."""
+    few, least = private.train(candidates_of(spark, 4000))
+    monkeypatch.setattr(private, "DRAWN", 0)
+    many, same = private.train(candidates_of(spark, 4000))
+    trees = [m.toDebugString.split("\n", 1)[1] for m in (few, many)]
+    assert trees[0] == trees[1] and least == same
+
+
+def test_cuts_are_found_in_all_rows(spark, monkeypatch):
+    """Of 20 000 rows one in 2000 has the value that tells the classes apart: Spark ML keeps its cut."""
+    F = private.F
+    n = 20_000
+    rare = F.col("id") % 2000 == 0
+    rows = spark.range(n).select(
+        *[F.lit(0.0).alias(c) for c in private.FEATURES if c not in ("n_chars", "n_digits")],
+        F.when(rare, 9.0).otherwise(F.col("id") % 9).alias("n_chars"), (F.col("id") % 24).cast("double").alias("n_digits"),
+        rare.cast("double").alias("label"), (F.floor(F.col("id") / 2000) % 2 == 0).alias("held"), F.lit(1).alias("n"))
+    monkeypatch.setattr(private, "examples", lambda _: rows)
+    model, _ = private.train(None)
+    assert "feature 0 <= 8.5" in model.toDebugString
+    assert private.most_bins(n) ** 2 >= n and private.most_bins(50) == 32
