@@ -44,8 +44,18 @@ class Tree:
         return at
 
     def of_bins(self, bins: np.ndarray) -> np.ndarray:
-        return self._ends(lambda node, rows: np.zeros(bins.shape[1], np.int64) if node is None
-                          else bins[self.feature[node], rows] > self.bin[node])
+        """The leaf of each row; rows go down leaf by leaf, so that each step reads one feature."""
+        at = np.zeros(bins.shape[1], np.int64)
+        waiting = [(0, np.arange(bins.shape[1]))]
+        while waiting:
+            node, rows = waiting.pop()
+            f = self.feature[node]
+            if f < 0 or not len(rows):
+                at[rows] = node
+                continue
+            right = bins[f, rows] > self.bin[node]
+            waiting += [(self.left[node], rows[~right]), (self.right[node], rows[right])]
+        return at
 
     def of_values(self, x: np.ndarray) -> np.ndarray:
         # a missing number is not at most the threshold: it goes right

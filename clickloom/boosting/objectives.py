@@ -39,8 +39,8 @@ def gradients(objective: str, score: np.ndarray, block, lists: dict) -> tuple[np
     new = np.concatenate([[True], np.diff(block.list) != 0])
     starts = np.flatnonzero(new)
     sums = [np.add.reduceat(x, starts) for x in (a, b)]
-    for k, name in enumerate(block.list[starts].tolist()):
-        if name in lists:
-            sums[0][k], sums[1][k] = lists[name]
+    names = block.list[starts]
+    for k in np.flatnonzero(np.isin(names, np.fromiter(lists, np.int64, len(lists)))).tolist():
+        sums[0][k], sums[1][k] = lists[int(names[k])]
     at = np.cumsum(new) - 1
     return listwise(score, label, sums[0][at], sums[1][at])

@@ -255,3 +255,97 @@ def test_one_task_several_and_passes_over_files_agree(lists, monkeypatch, object
     for other in found[1:]:
         assert found[0].nodes().drop("value", "gain").exceptAll(other.nodes().drop("value", "gain")).isEmpty()
         assert found[0].history == pytest.approx(other.history)
+
+
+@pytest.mark.parametrize("files", [True, False])
+def test_tasks_agree_by_files_and_through_spark(frame, monkeypatch, files):
+    df, _ = frame
+    s = Boosting(rounds=2, leaves=6, min_rows=5, row_share=0.8)
+    (one,) = boosting.fit(df, [s], ["m"], size=100)
+    monkeypatch.setattr(boosting.together, "PER_TASK", 3 if files else 1)
+    monkeypatch.setattr(boosting.together, "SLOW", 3)
+    if not files:
+        monkeypatch.setattr(boosting.together, "folder_of_files", lambda spark: None)
+    (other,) = boosting.fit(df, [s], ["m"], size=100)
+    assert one.nodes().exceptAll(other.nodes()).isEmpty() and one.getNumTrees == other.getNumTrees
+
+
+def test_many_rounds_of_several_tasks_do_not_wait(frame, monkeypatch):
+    """Some sixty passes; a second each, as ``allGather`` takes, would be a minute."""
+    import time
+
+    monkeypatch.setattr(boosting.together, "PER_TASK", 3)
+    df, _ = frame
+    begun = time.time()
+    (model,) = boosting.fit(df, [Boosting(rounds=12, leaves=16, min_rows=5)], ["m"], size=100)
+    assert model.getNumTrees == 12 and time.time() - begun < 30
+
+
+class Threads:
+    """The contexts of ``n`` tasks that are threads here."""
+
+    def __init__(self, n):
+        import threading
+
+        self.n, self.said, self.gate = n, [None] * n, threading.Barrier(n)
+
+    def of(self, me):
+        from types import SimpleNamespace
+
+        def gather(text):
+            self.said[me] = text
+            self.gate.wait()
+            told = list(self.said)
+            self.gate.wait()
+            return told
+
+        return SimpleNamespace(getTaskInfos=lambda: [None] * self.n, partitionId=lambda: me, allGather=gather,
+                               taskAttemptId=lambda: 70 + me)
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_talk(tmp_path, monkeypatch, lost):
+    """By files where all see them, else through Spark; files of earlier steps are gone."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from clickloom.boosting import together
+
+    monkeypatch.setattr(together, "SEEN", 0.3)
+    contexts = Threads(3)
+
+    def task(me):
+        talk = together.talk(contexts.of(me), str(tmp_path / ("other" if lost and me == 1 else "one")))
+        dealt = [talk.deal([f"{me} to {k}, {step}" for k in range(3)]) for step in range(4)]
+        return type(talk), dealt, talk.all(np.full(3, me))
+
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(task, range(3)))
+    for me, (kind, dealt, every) in enumerate(found):
+        assert kind is (together.Gather if lost else together.Files)
+        assert dealt == [[f"{k} to {me}, {step}" for k in range(3)] for step in range(4)]
+        assert [e.tolist() for e in every] == [[k] * 3 for k in range(3)]
+    left = sorted(p.name for p in (tmp_path / "one").rglob("*-*"))
+    assert left == ([] if lost else ["4-0", "4-1", "4-2"])
+
+
+def test_precisions_of_all_lists_at_once():
+    rng = np.random.default_rng(4)
+    of = np.sort(rng.integers(0, 300, 2000))
+    score, mark = rng.integers(0, 5, 2000).astype(float), rng.permutation(2000)
+    label = (rng.random(2000) < 0.3).astype(float)
+    clicks = np.bincount(of, label, minlength=300).astype(int)
+    use = clicks[of] > 0
+    got = boosting.precisions_of_lists(of[use], score[use], label[use], mark[use], clicks)
+    want = [boosting.average_precisions(score[of == i], label[of == i], mark[of == i], clicks[i])
+            for i in np.unique(of[use])]
+    assert got == pytest.approx(want) and len(boosting.precisions_of_lists(of[:0], score[:0], label[:0], mark[:0], clicks)) == 0
+
+
+def test_rows_go_down_a_tree_as_their_values_do(frame):
+    df, rows = frame
+    (model,) = boosting.fit(df, [Boosting(rounds=1, leaves=20, **PLAIN)], ["m"])
+    x = np.array([r[1:4] for r in rows], float)
+    (tree,) = model.trees
+    cuts = [np.unique(x[:, f])[:-1] for f in range(3)]
+    bins = np.array([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)], np.uint8)
+    assert (tree.of_bins(bins) == tree.of_values(x)).all() and len(tree.of_bins(bins[:, :0])) == 0
